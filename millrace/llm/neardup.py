@@ -6,9 +6,10 @@ at least t exactly when their Hamming distance is at most tau = (|A| + |B|) (1 -
 1. ``features``: one narrow pass over the texts (Arrow buffers, numpy). Each set gets a 64-bit identity, so exact copies
    are one point from here on, and a ring of 16 segments of 16 bits (parities of its members), whose distances never
    exceed those of the sets' own segments. Nothing but this small table and the sets is kept.
-2. ``candidates``: two sets within tau share a member among the first |A| - ceil(t |A|) + 1 of A and likewise of B in any
-   common order; members common in the corpus go last. Members that stay hot are split into blocks, each pair of blocks
-   a group of its own, so no task takes an unbounded group. The list of common members has a fixed bound (``HOT_LIST``).
+2. ``candidates``: two sets within tau share ``k`` members (all, if they need fewer) among the first
+   |A| - ceil(t |A|) + k of A and likewise of B in any common order; members common in the corpus go last. Members that
+   stay hot are split into blocks, each pair of blocks a group of its own, so no task takes an unbounded group. The list
+   of common members has a fixed bound (``HOT_LIST``) and only orders members: no pair depends on it.
 3. ``pigeonring``: a pair stays only if from some segment on all chains of 1..L consecutive segments have cumulative
    differences of at most l tau / m (there must be such a start if the whole distance is at most tau).
 4. The full Hamming check on the sets themselves, for the pairs that are left.
@@ -31,7 +32,8 @@ from millrace.llm.shingles import mix, shingle_sets
 from millrace.session import cut, stage
 
 SEGMENTS, CHAIN = 16, 6
-HOT_LIST, HOT_LEAST, LOCAL_LEAST, HOT_BLOCK = 1 << 17, 32, 8, 4096
+HOT_LIST, HOT_LEAST, LOCAL_LEAST, HOT_BLOCK = 1 << 20, 16, 3, 4096
+SHARED = 4
 _FEATURES = "id long, sid long, n int, first boolean, sk0 long, sk1 long, sk2 long, sk3 long, sh array<long>, hot array<long>, counts array<int>"
 _SHIFT = np.uint64(56)
 
@@ -91,7 +93,7 @@ def _common(members: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _hot(feats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most common members and their counts: at most HOT_LIST of them, 2 MB, at every size."""
+    """The most common members and their counts: at most HOT_LIST of them, 16 MB, at every size."""
     rows = (
         feats.where(F.col("id").isNull())
         .select(F.explode(F.arrays_zip("hot", "counts")).alias("x"))
@@ -107,7 +109,7 @@ def _hot(feats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def candidates(feats: DataFrame, t_num: int, t_den: int) -> DataFrame:
-    """Pairs (a, b) of set identities, a < b, that share a member of their prefixes; pairs may come repeatedly."""
+    """Pairs (a, b) of set identities, a < b, that share enough members of their prefixes."""
     spark = feats.sparkSession
     hot, counts = _hot(feats)
     told = spark.sparkContext.broadcast((hot, counts))
@@ -126,7 +128,7 @@ def candidates(feats: DataFrame, t_num: int, t_den: int) -> DataFrame:
             order = np.lexsort((flat, load, row))  # rare members first, in the same order everywhere
             place = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))
             need = -(-ns.astype(np.int64) * t_num // t_den)
-            keep = place < (ns - need + 1)[row]
+            keep = place < (ns - need + SHARED)[row]
             order, row = order[keep], row[keep]
             key, load = flat[order].view(np.uint64), load[order]
             sid, n = sids[row], ns[row]
@@ -160,24 +162,28 @@ def candidates(feats: DataFrame, t_num: int, t_den: int) -> DataFrame:
                 break
             near = (np.minimum(n[at], n[at + d]) * t_den >= np.maximum(n[at], n[at + d]) * t_num)
             i = at[near]
-            out.append(np.stack([sid[i], sid[i + d]]))
+            need = -(-(n[i].astype(np.int64) + n[i + d]) * t_num // (t_num + t_den))
+            out.append(np.stack([sid[i], sid[i + d], np.minimum(need, SHARED)]))
             held += len(i)
             if held > 2_000_000:
-                yield _unique(out)
+                yield _counted(out)
                 out, held = [], 0
         if out:
-            yield _unique(out)
+            yield _counted(out)
 
     flat = feats.where(F.col("first")).select("sid", "n", "sh").mapInArrow(prefixes, "key long, sid long, n int")
-    return flat.repartition("key").mapInArrow(pairs, "a long, b long")
+    met = flat.repartition("key").mapInArrow(pairs, "a long, b long, k int, need int")
+    return met.groupBy("a", "b").agg(F.sum("k").alias("k"), F.max("need").alias("need")).where("k >= need").select("a", "b")
 
 
-def _unique(out: list[np.ndarray]) -> pa.RecordBatch:
+def _counted(out: list[np.ndarray]) -> pa.RecordBatch:
     x = np.concatenate(out, axis=1)
-    x = x[:, np.lexsort(x)]
+    x = x[:, np.lexsort(x[:2])]
     new = np.ones(x.shape[1], bool)
-    new[1:] = (x[:, 1:] != x[:, :-1]).any(axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(x[0][new]), pa.array(x[1][new])], names=["a", "b"])
+    new[1:] = (x[:2, 1:] != x[:2, :-1]).any(axis=0)
+    at = np.flatnonzero(new)
+    k = np.diff(np.append(at, x.shape[1])).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(x[0][at]), pa.array(x[1][at]), pa.array(k), pa.array(x[2][at].astype(np.int32))], names=["a", "b", "k", "need"])
 
 
 def pigeonring(left: list[Column], right: list[Column], tau: Column, chain: int = CHAIN) -> Column:
@@ -212,7 +218,7 @@ def similar_sets(feats: DataFrame, threshold: float = 0.7) -> DataFrame:
     side = lambda x: ring.select(F.col("sid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "sk0", "sk1", "sk2", "sk3")])
     tau = F.floor((F.col("a_n") + F.col("b_n")) * (t_den - t_num) / (t_den + t_num) + F.lit(1e-9))
     left = pairs.join(side("a"), "a").join(side("b"), "b")
-    kept = left.where(pigeonring([F.col(f"a_sk{k}") for k in range(4)], [F.col(f"b_sk{k}") for k in range(4)], tau)).select("a", "b").distinct()
+    kept = left.where(pigeonring([F.col(f"a_sk{k}") for k in range(4)], [F.col(f"b_sk{k}") for k in range(4)], tau)).select("a", "b")
     kept = stage(kept, "pigeonring")
     wanted = kept.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     sets = feats.where(F.col("first")).select("sid", "sh").join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("sh").alias("sh"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import neardup, syntax
+from millrace.llm import neardup, pairs, sentences, syntax, tokenize
 from millrace.session import table
 
 
@@ -20,6 +20,10 @@ def _p6_groups(spark, d):
 
 def queries() -> dict:
     return {
+        "p1_found": lambda s, d: sentences.sentences(table(s, d, "rag_points"), "point_id", ["original_text", "modern_chinese_summary"]).withColumnRenamed("id", "point_id"),
+        "p5_found": lambda s, d: pairs.broken_pairs(table(s, d, "rag_points"), "point_id", "original_text", "summary_zh").withColumnRenamed("id", "point_id"),
+        "p7_ids": lambda s, d: tokenize.token_ids(table(s, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id"),
+        "p7_round_trip": lambda s, d: tokenize.round_trip(table(s, d, "documents"), "doc_id", "text", "source").withColumnRenamed("grp", "source"),
         "p4_found": lambda s, d: syntax.invalid_steps(table(s, d, "translated_steps")),
         "p4_errors": lambda s, d: syntax.error_table(table(s, d, "translated_steps")),
         "p4_rates": lambda s, d: syntax.rates(table(s, d, "translated_steps")),
