@@ -36,10 +36,10 @@ _REFUSALS = re.compile(
     re.I,
 )
 _QUOTED = re.compile(r"“[^”]*”|「[^」]*」|『[^』]*』|\"[^\"]*\"|《[^》]*》")
-_HAN = re.compile(r"[一-鿿㐀-䶿豈-﫿]")
-_KANA = re.compile(r"[぀-ヿｦ-ﾝ]")
-_LATIN = re.compile(r"[A-Za-zÀ-ɏ_]+")
-_OTHER = re.compile(r"[^\W\d_A-Za-zÀ-ɏ一-鿿㐀-䶿豈-﫿぀-ヿｦ-ﾝ]")
+_HAN = re.compile(r"[\u4e00-\u9fff\u3400-\u4dbf\uf900-\ufaff]")
+_KANA = re.compile(r"[\u3040-\u30ff\uff66-\uff9d]")
+_LATIN = re.compile(r"[A-Za-z\u00c0-\u024f_]+")
+_OTHER = re.compile(r"[^\W\d_A-Za-z\u00c0-\u024f\u4e00-\u9fff\u3400-\u4dbf\uf900-\ufaff\u3040-\u30ff\uff66-\uff9d]")
 _KEEP = re.compile(r"[\W_]+")
 _LEAD = re.compile(r"^\s*[^\n：:。，]{1,12}[：:]\s*")
 _DONE = re.compile(r"[。！？!?.．；;।؟]$")

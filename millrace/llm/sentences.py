@@ -42,11 +42,11 @@ _QUOTE_OR_BRACKET = re.compile(r"[“”«»「」『』()（）\[\]【】《》
 _MARKS = re.compile(r"[.。．!！?？؟।॥…‽⁇⁈⁉]+")
 _WIDE = frozenset("。．！？؟।॥!?‽⁇⁈⁉")
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
-_UNSPACED = re.compile(r"[⺀-鿿豈-﫿぀-ヿ฀-๿຀-໿က-႟ក-៿]")
+_UNSPACED = re.compile(r"[\u2e80-\u2fdf\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]")
 _LETTER = re.compile(r"[^\W\d_]")
 _PARTICLES = re.compile(r"[也矣哉焉乎耳]+")
-_HAN_SAYS = re.compile(r"[一-鿿]{0,8}?[曰说說道问問答言叹嘆写寫](?:道|着|著|了)?(?=[，。,！？!?\n]|$)")
-_KANA = re.compile(r"[぀-ゟ]")
+_HAN_SAYS = re.compile(r"[\u4e00-\u9fff]{0,8}?[曰说說道问問答言叹嘆写寫](?:道|着|著|了)?(?=[，。,！？!?\n]|$)")
+_KANA = re.compile(r"[\u3040-\u309f]")
 _ID = re.compile(r"\w+$")
 
 
