@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import neardup, pairs, sentences, syntax, tokenize
+from millrace.llm import lookalike, neardup, pairs, sentences, syntax, tokenize
 from millrace.session import table
 
 
@@ -21,6 +21,10 @@ def _p6_groups(spark, d):
 def queries() -> dict:
     return {
         "p1_found": lambda s, d: sentences.sentences(table(s, d, "rag_points"), "point_id", ["original_text", "modern_chinese_summary"]).withColumnRenamed("id", "point_id"),
+        "p2_found": lambda s, d: lookalike.same_look(
+            table(s, d, "rag_points").select(F.col("point_id").alias("id"), "text"), table(s, d, "grounded_refs").select(F.col("ref_id").alias("id"), "text")
+        ),
+        "p2_canonical": lambda s, d: lookalike.canonical(table(s, d, "grounded_refs"), "ref_id", "text").withColumnRenamed("id", "ref_id"),
         "p5_found": lambda s, d: pairs.broken_pairs(table(s, d, "rag_points"), "point_id", "original_text", "summary_zh").withColumnRenamed("id", "point_id"),
         "p7_ids": lambda s, d: tokenize.token_ids(table(s, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id"),
         "p7_round_trip": lambda s, d: tokenize.round_trip(table(s, d, "documents"), "doc_id", "text", "source").withColumnRenamed("grp", "source"),
