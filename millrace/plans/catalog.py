@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from millrace.operators import schema_drift
+from millrace.session import table
+
+_EXPORT = ("collection_name", "file_name", "file_no", "raw")
+_PAYLOAD = ["text", "content", "original_text", "modern_chinese_summary", "source", "chapter"]
+
+
+def _p3_unified(spark, d):
+    return schema_drift.unified(table(spark, d, "rag_exports"), *_EXPORT, _PAYLOAD).withColumnRenamed("collection", "collection_name")
+
 
 def queries() -> dict:
-    return {}
+    return {
+        "p3_found": lambda s, d: schema_drift.changes(table(s, d, "rag_exports"), *_EXPORT),
+        "p3_unified": _p3_unified,
+    }
 
 
 def oracle_sql() -> dict:
