@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import lookalike, neardup, pairs, sentences, syntax, tokenize
+from millrace.llm import leaks, lookalike, neardup, pairs, sentences, syntax, tokenize, truncated
 from millrace.session import table
 
 
@@ -18,6 +18,10 @@ def _p6_groups(spark, d):
     return g.withColumnRenamed("id", "step_id")
 
 
+def _p8_found(spark, d):
+    return leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text", "lang")
+
+
 def queries() -> dict:
     return {
         "p1_found": lambda s, d: sentences.sentences(table(s, d, "rag_points"), "point_id", ["original_text", "modern_chinese_summary"]).withColumnRenamed("id", "point_id"),
@@ -28,6 +32,10 @@ def queries() -> dict:
         "p5_found": lambda s, d: pairs.broken_pairs(table(s, d, "rag_points"), "point_id", "original_text", "summary_zh").withColumnRenamed("id", "point_id"),
         "p7_ids": lambda s, d: tokenize.token_ids(table(s, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id"),
         "p7_round_trip": lambda s, d: tokenize.round_trip(table(s, d, "documents"), "doc_id", "text", "source").withColumnRenamed("grp", "source"),
+        "p8_found": _p8_found,
+        "p8_items": lambda s, d: _p8_found(s, d).groupBy("item_id").agg(F.count("*").alias("documents")),
+        "p9_found": lambda s, d: truncated.judged(table(s, d, "documents"), "doc_id", "text", "source").where("cut is not null").select(F.col("id").alias("doc_id")),
+        "p9_rates": lambda s, d: truncated.rates(table(s, d, "documents"), "doc_id", "text", "source"),
         "p4_found": lambda s, d: syntax.invalid_steps(table(s, d, "translated_steps")),
         "p4_errors": lambda s, d: syntax.error_table(table(s, d, "translated_steps")),
         "p4_rates": lambda s, d: syntax.rates(table(s, d, "translated_steps")),
