@@ -28,7 +28,7 @@ def first_wins(df: DataFrame, key: str, order: list[Column], qualified: Column |
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each group with their place ``rank``; Spark limits groups before the shuffle."""
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return df.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)
 
 
 def quota(df: DataFrame, source: str, order: list[Column], caps: dict[str, int]) -> DataFrame:

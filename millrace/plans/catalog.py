@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import importlib
 
-from millrace.operators import schema_drift
-from millrace.session import table
+MODULES = ("health", "drift", "curation", "texts", "graphs", "manifests")
 
-_EXPORT = ("collection_name", "file_name", "file_no", "raw")
-_PAYLOAD = ["text", "content", "original_text", "modern_chinese_summary", "source", "chapter"]
 
-
-def _p3_unified(spark, d):
-    return schema_drift.unified(table(spark, d, "rag_exports"), *_EXPORT, _PAYLOAD).withColumnRenamed("collection", "collection_name")
+def _all(part: str) -> dict:
+    out: dict = {}
+    for name in MODULES:
+        out.update(getattr(importlib.import_module(f"millrace.plans.{name}").P, part))
+    return out
 
 
 def queries() -> dict:
-    return {
-        "p3_found": lambda s, d: schema_drift.changes(table(s, d, "rag_exports"), *_EXPORT),
-        "p3_unified": _p3_unified,
-    }
+    return _all("queries")
 
 
 def oracle_sql() -> dict:
-    return {}
+    return _all("sql")
