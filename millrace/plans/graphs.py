@@ -1,3 +1,185 @@
-"""Queries."""
-from millrace.plans.base import Plans
+"""Graphs of files, vectors, search and diffs."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from millrace.functions import text as X
+from millrace.operators import joins, patches, search
+from millrace.operators.vectors import nearest
+from millrace.plans.base import RUNS, STEPS, Plans, runs, steps
+from millrace.session import table
+
 P = Plans()
+# the graph: files that a task touches one after the other
+EDGES = f"""{STEPS}, touched AS (SELECT task_id, step_index, step_id, coalesce(action.filepath, action.file_path) AS f FROM steps WHERE coalesce(action.filepath, action.file_path) IS NOT NULL),
+edges AS (SELECT DISTINCT f AS src, g AS dst FROM (SELECT f, lead(f) OVER (PARTITION BY task_id ORDER BY step_index, step_id) AS g FROM touched) WHERE g IS NOT NULL AND g <> f)"""
+
+
+def edges(spark, d):
+    f = F.coalesce(F.col("action.filepath"), F.col("action.file_path"))
+    x = steps(spark, d).where(f.isNotNull()).select("task_id", "step_index", "step_id", f.alias("src"))
+    x = x.withColumn("dst", F.lead("src").over(Window.partitionBy("task_id").orderBy("step_index", "step_id")))
+    return x.where("dst is not null and dst <> src").select("src", "dst").distinct()
+
+
+@P.add("s16_edges", f"WITH {EDGES} SELECT src, dst FROM edges")
+def s16(spark, d):
+    return edges(spark, d)
+
+
+@P.add("j13_degrees", f"WITH {EDGES}, x AS (SELECT src AS node, 1 AS o, 0 AS i FROM edges UNION ALL SELECT dst, 0, 1 FROM edges) SELECT node, sum(o)::BIGINT AS out_degree, sum(i)::BIGINT AS in_degree FROM x GROUP BY 1")
+def j13(spark, d):
+    n = joins.neighbours(edges(spark, d), "src", "dst")
+    return n.groupBy("node").agg(F.sum((F.col("direction") == "out").cast("long")).alias("out_degree"), F.sum((F.col("direction") == "in").cast("long")).alias("in_degree"))
+
+
+@P.add("j12_folder_neighbours", f"""WITH {EDGES}, x AS (SELECT split_part(src, '/', 1) AS a, split_part(dst, '/', 1) AS b FROM edges) SELECT a AS folder, b AS neighbour, count(*) AS links FROM x GROUP BY 1, 2""")
+def j12(spark, d):
+    x = edges(spark, d).select(F.element_at(F.split("src", "/"), 1).alias("folder"), F.element_at(F.split("dst", "/"), 1).alias("neighbour"))
+    return x.groupBy("folder", "neighbour").agg(F.count("*").alias("links"))
+
+
+@P.add("j14_induced_subgraph", f"WITH {EDGES}, t AS (SELECT f FROM touched GROUP BY f HAVING count(DISTINCT task_id) >= 2) SELECT src, dst FROM edges WHERE src IN (SELECT f FROM t) AND dst IN (SELECT f FROM t)")
+def j14(spark, d):
+    f = F.coalesce(F.col("action.filepath"), F.col("action.file_path"))
+    shared = steps(spark, d).where(f.isNotNull()).groupBy(f.alias("f")).agg(F.countDistinct("task_id").alias("k")).where("k >= 2")
+    return joins.induced(edges(spark, d), "src", "dst", shared, "f")
+
+
+@P.add("j12_two_hops", f"""WITH {EDGES}, s AS (SELECT DISTINCT src AS node FROM edges WHERE src LIKE '%.py' AND split_part(src, '/', 1) = 'core'), a AS (SELECT DISTINCT dst AS node FROM edges WHERE src IN (SELECT node FROM s) AND dst NOT IN (SELECT node FROM s)),
+b AS (SELECT DISTINCT dst AS node FROM edges WHERE src IN (SELECT node FROM a) AND dst NOT IN (SELECT node FROM s) AND dst NOT IN (SELECT node FROM a)) SELECT node, 0 AS distance FROM s UNION ALL SELECT node, 1 FROM a UNION ALL SELECT node, 2 FROM b""")
+def j12b(spark, d):
+    e = edges(spark, d)
+    seeds = e.where(F.col("src").endswith(".py") & (F.element_at(F.split("src", "/"), 1) == "core")).select(F.col("src").alias("node"))
+    return joins.reachable(e, "src", "dst", seeds, "node", 2)
+
+
+@P.add("j11_tiered_lookup", f"""WITH {STEPS}, q AS (SELECT DISTINCT action.args[2] AS q FROM steps WHERE action.args[1] = '--file'), n AS (SELECT DISTINCT coalesce(action.filepath, '') AS p, regexp_extract(action.filepath, '([^/]+)\\.[a-z]+$', 1) AS leaf FROM steps WHERE action.filepath IS NOT NULL),
+h AS (SELECT q, p, 1 AS tier FROM q JOIN n ON q = p UNION ALL SELECT q, p, 2 FROM q JOIN n ON q = leaf UNION ALL SELECT q, p, 3 FROM q JOIN n ON lower(q) = lower(leaf)), b AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY q ORDER BY tier, p) = 1)
+SELECT q.q AS query, b.p AS path, b.tier AS tier FROM q LEFT JOIN b ON q.q = b.q WHERE q.q IS NOT NULL""")
+def j11(spark, d):
+    s = steps(spark, d)
+    q = s.where(F.get("action.args", F.lit(0)) == "--file").select(F.get("action.args", F.lit(1)).alias("query")).where("query is not null").distinct()
+    n = s.select(F.col("action.filepath").alias("path")).where("path is not null").distinct().withColumn("leaf", F.regexp_extract("path", r"([^/]+)\.[a-z]+$", 1))
+    tiers = [n.select(F.col("path").alias("query"), "path"), n.select(F.col("leaf").alias("query"), "path")]
+    low = q.withColumn("l", F.lower("query")).join(n.select(F.lower("leaf").alias("l"), "path"), "l").select("query", "path")
+    return joins.first_tier(q, "query", [*[t.join(q, "query", "left_semi") for t in tiers], low], "path").select("query", "path", "tier")
+
+
+@P.add("v1_nearest_vectors", """WITH q AS (SELECT vec_id, embedding AS v FROM embeddings WHERE vec_id % 100 = 0), x AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_cosine_similarity(q.v::DOUBLE[], e.embedding::DOUBLE[]), 9) AS cosine FROM q, embeddings e WHERE q.vec_id <> e.vec_id)
+SELECT query_id, id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, id) AS rank FROM x) WHERE rank <= 10""")
+def v1(spark, d):
+    e = table(spark, d, "embeddings")
+    return nearest(e, e.where(F.col("vec_id") % 100 == 0), "vec_id", "embedding", 10).select("query_id", "id", "rank")
+
+
+@P.add("m6_cosine_to_label_mean", """WITH x AS (SELECT label, list(embedding ORDER BY vec_id)[1] AS a, list(embedding ORDER BY vec_id)[-1] AS b FROM embeddings GROUP BY 1) SELECT label, round(list_cosine_similarity(a::DOUBLE[], b::DOUBLE[]), 6) AS cosine FROM x""")
+def m6(spark, d):
+    """Cosine of the first and the last vector of each label, as a plain expression."""
+    from millrace.functions.structured import cosine
+
+    x = table(spark, d, "embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("a"), F.max_by("embedding", "vec_id").alias("b"))
+    return x.select("label", F.round(cosine(F.col("a"), F.col("b")), 6).alias("cosine"))
+
+
+def files(spark, d):
+    a = F.col("action")
+    return steps(spark, d).where((a.action_type == "write_file") & a.content.isNotNull()).select(F.col("step_id").alias("file_id"), a.filepath.alias("path"), a.content.alias("text"))
+
+
+@P.add("c1_regex_search", rf"""WITH {STEPS}, x AS (SELECT step_id AS file_id, unnest(string_split(action.content, chr(10))) AS line, generate_subscripts(string_split(action.content, chr(10)), 1) AS line_no FROM steps WHERE action.action_type = 'write_file' AND action.content IS NOT NULL)
+SELECT file_id, line_no, md5(line) AS digest FROM x WHERE regexp_matches(line, '^\s*raise \w+Error\(')""")
+def c1(spark, d):
+    return search.matching_lines(files(spark, d), r"^\s*raise \w+Error\(").select("file_id", "line_no", F.md5("line").alias("digest"))
+
+
+@P.add("c2_guarded_search", f"""WITH {STEPS}, x AS (SELECT step_id AS file_id, unnest(string_split(action.content, chr(10))) AS line, generate_subscripts(string_split(action.content, chr(10)), 1) AS line_no FROM steps WHERE action.action_type = 'write_file' AND length(action.content) <= 500000)
+SELECT file_id, count(*) AS hits FROM x WHERE contains(line, 'return') AND length(line) <= 1000 AND line_no <= 5000 GROUP BY 1""")
+def c2(spark, d):
+    return search.lines(files(spark, d), guarded=True).where(F.col("line").contains("return")).groupBy("file_id").agg(F.count("*").alias("hits"))
+
+
+@P.add("c3_search_cascade", f"""WITH {STEPS}, x AS (SELECT unnest(string_split(action.content, chr(10))) AS line FROM steps WHERE action.action_type = 'write_file' AND action.content IS NOT NULL)
+SELECT CASE WHEN contains(line, 'Raise ValueError') THEN 'exact' WHEN contains(lower(line), 'raise valueerror') THEN 'any case' ELSE 'part' END AS kind, count(*) AS n FROM x WHERE contains(lower(line), 'raise') OR contains(lower(line), 'valueerror') GROUP BY 1""")
+def c3(spark, d):
+    x = search.lines(files(spark, d)).where(F.lower("line").contains("raise") | F.lower("line").contains("valueerror"))
+    kind = F.when(F.col("line").contains("Raise ValueError"), "exact").when(F.lower("line").contains("raise valueerror"), "any case").otherwise("part")
+    return x.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+@P.add("c5_similar_file_names", f"""WITH {STEPS}, p AS (SELECT DISTINCT action.filepath AS path, regexp_extract(action.filepath, '([^/]+)\\.[A-Za-z]+$', 1) AS stem FROM steps WHERE action.filepath IS NOT NULL) SELECT stem, count(*) AS files, min(path) AS first_path FROM p WHERE stem <> '' GROUP BY 1 HAVING count(*) > 1""")
+def c5(spark, d):
+    p = steps(spark, d).select(F.col("action.filepath").alias("path")).where("path is not null").distinct().withColumn("stem", F.regexp_extract("path", r"([^/]+)\.[A-Za-z]+$", 1))
+    return p.where("stem <> ''").groupBy("stem").agg(F.count("*").alias("files"), F.min("path").alias("first_path")).where("files > 1")
+
+
+@P.add("c9_overview", f"""WITH {STEPS}, p AS (SELECT DISTINCT repo, action.filepath AS path FROM steps WHERE action.filepath IS NOT NULL) SELECT repo, split_part(path, '/', 1) AS folder, count(*) AS files, count(*) FILTER (WHERE ends_with(path, '.py')) AS python_files FROM p GROUP BY 1, 2""")
+def c9(spark, d):
+    p = steps(spark, d).select("repo", F.col("action.filepath").alias("path")).where("path is not null").distinct()
+    return p.groupBy("repo", F.element_at(F.split("path", "/"), 1).alias("folder")).agg(F.count("*").alias("files"), F.sum(F.col("path").endswith(".py").cast("long")).alias("python_files"))
+
+
+@P.add("l9_layout", f"""WITH {STEPS}, p AS (SELECT DISTINCT split_part(action.filepath, '/', 1) AS name, contains(action.filepath, '/') AS is_dir FROM steps WHERE action.filepath IS NOT NULL), q AS (SELECT name, bool_or(is_dir) AS is_dir FROM p GROUP BY 1) SELECT name, is_dir, row_number() OVER (ORDER BY NOT is_dir, lower(name), name) AS place FROM q""")
+def l9(spark, d):
+    from millrace.operators.ordering import numbered
+
+    p = steps(spark, d).select(F.col("action.filepath").alias("p")).where("p is not null")
+    q = p.groupBy(F.element_at(F.split("p", "/"), 1).alias("name")).agg(F.bool_or(F.col("p").contains("/")).alias("is_dir"))
+    return numbered(q, [~F.col("is_dir"), F.lower("name"), F.col("name")], "place").select("name", "is_dir", "place")
+
+
+@P.add("j10_enclosing_scope")
+def j10(spark, d):
+    """Calls with the innermost definition around them, over all Python files."""
+    from millrace.functions.arrow import python_symbols
+
+    x = python_symbols(files(spark, d).where(F.col("path").endswith(".py")), "file_id", "text")
+    calls = x.where("kind = 'call'").select("file_id", "line", "name").distinct()
+    spans = x.where("kind in ('function', 'class')").select("file_id", "line", "last_line", F.col("name").alias("scope")).withColumnRenamed("line", "first_line")
+    return joins.innermost(calls, spans, ["file_id"], ["name"], "line", "first_line", "last_line", "scope").select("file_id", "name", "line", "scope")
+
+
+@P.add("c6_scopes_per_file")
+def c6(spark, d):
+    """The two scopes of each file with most calls."""
+    from millrace.operators.dedup import top_per_group
+
+    x = j10(spark, d).where("scope is not null").groupBy("file_id", "scope").agg(F.count("*").alias("calls"))
+    return top_per_group(x, ["file_id"], [F.desc("calls"), F.col("scope")], 2)
+
+
+@P.add("a17_diff_stats", r"""WITH s AS (SELECT instance_id, unnest(string_split(chr(10) || patch, chr(10) || 'diff --git ')) AS s FROM bench_tasks WHERE patch IS NOT NULL), x AS (SELECT instance_id, regexp_extract(s, '^a/(\S+)', 1) AS path, string_split(s, chr(10)) AS l FROM s WHERE s <> '')
+SELECT instance_id, path, len(list_filter(l, lambda x: starts_with(x, '+') AND NOT starts_with(x, '+++ ')))::BIGINT AS added, len(list_filter(l, lambda x: starts_with(x, '-') AND NOT starts_with(x, '--- ')))::BIGINT AS removed, CASE WHEN list_contains(l, '--- /dev/null') THEN 'A' WHEN list_contains(l, '+++ /dev/null') THEN 'D' ELSE 'M' END AS status FROM x WHERE path <> ''""")
+def a17(spark, d):
+    return patches.file_stats(table(spark, d, "bench_tasks"), "instance_id", "patch")
+
+
+@P.add("p5_single_python_patch", r"""WITH s AS (SELECT instance_id, unnest(string_split(patch, chr(10))) AS l FROM bench_tasks), f AS (SELECT DISTINCT instance_id, regexp_replace(regexp_extract(l, '^(?:---|\+\+\+) (\S+)', 1), '^[ab]/', '') AS p FROM s WHERE regexp_matches(l, '^(---|\+\+\+) ')),
+g AS (SELECT instance_id, count(*) AS files, min(p) AS p FROM f WHERE p <> '/dev/null' AND p <> '' GROUP BY 1) SELECT b.instance_id, coalesce(g.files = 1 AND ends_with(g.p, '.py'), false) AS single_python FROM bench_tasks b LEFT JOIN g ON b.instance_id = g.instance_id""")
+def p5(spark, d):
+    return table(spark, d, "bench_tasks").select("instance_id", X.is_single_python_patch(F.col("patch")).alias("single_python"))
+
+
+@P.add("c12_patch_states")
+def c12(spark, d):
+    b = table(spark, d, "bench_tasks")
+    return patches.readiness(b, "instance_id", "patch")
+
+
+@P.add("j16_run_status", f"""WITH {RUNS}, s AS (SELECT instance_id, max(test_exit_code) AS code FROM runs GROUP BY 1) SELECT b.instance_id, coalesce(s.code::VARCHAR, 'M') AS code FROM bench_tasks b LEFT JOIN s ON b.instance_id = s.instance_id""")
+def j16(spark, d):
+    s = runs(spark, d).groupBy("instance_id").agg(F.max("test_exit_code").alias("code"))
+    return table(spark, d, "bench_tasks").join(s, "instance_id", "left").select("instance_id", F.coalesce(F.col("code").cast("string"), F.lit("M")).alias("code"))
+
+
+@P.add("e3_three_tier_edits")
+def e3(spark, d):
+    """Every edit applied to the last content that its task wrote to the path before, where there is one."""
+    from millrace.operators import folds
+
+    a = F.col("action")
+    x = steps(spark, d).select("task_id", "step_index", "step_id", a.action_type.alias("kind"), F.coalesce(a.filepath, F.lit("")).alias("path"), a.old_string.alias("old"), a.new_string.alias("new"), F.when(a.action_type == "write_file", a.content).alias("w"))
+    x = folds.remembered(x, "task_id", ["step_index", "step_id"], F.col("path"), F.col("w"), "before").where("kind = 'edit_file'")
+    return search.edited(x, "before", "old", "new").groupBy("tier").agg(F.count("*").alias("n"))
