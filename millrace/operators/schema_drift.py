@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import stage
+
 SKETCH = 32
 CELL = "collection string, file_name string, file_no int, id string, field string, kind string, digest long, value string"
 CHANGE = "file_name string, change string, field_before string, field_after string"
@@ -178,14 +180,15 @@ def pairings(x: DataFrame) -> DataFrame:
 
 def changes(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str) -> DataFrame:
     """(file_name, change, field_before, field_after): every change from the file before it in the same collection."""
-    x = _located(cells(df, collection, file_name, file_no, raw).drop("value"))
+    # every later step reads the cells, so they are written once
+    x = stage(_located(cells(df, collection, file_name, file_no, raw).drop("value")), "cells")
     return pairings(x).where("change is not null").select("file_name", "change", "field_before", "field_after").distinct()
 
 
 def unified(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str, fields: list[str]) -> DataFrame:
     """One row per collection and id with the columns ``fields``: every value under the first name that its column had,
     as text, from the last file that has the id; names that match no field of ``fields`` are left out."""
-    x = _located(cells(df, collection, file_name, file_no, raw, values=True))
+    x = stage(_located(cells(df, collection, file_name, file_no, raw, values=True)), "cells")
     moved = pairings(x.drop("value"))
     told = x.groupBy("collection", "seq", "field").agg(F.lit(1).alias("one")).select("collection", "seq", F.col("field").alias("field_after"))
     steps = told.join(moved.where("field_before <> '' and field_after <> ''").select("collection", "seq", "field_before", "field_after"), ["collection", "seq", "field_after"], "left")
