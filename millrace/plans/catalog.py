@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("health", "drift", "curation", "texts", "graphs", "manifests")
+MODULES = ("health", "drift", "curation", "sequences", "texts", "graphs", "manifests")
 
 
 def _all(part: str) -> dict:

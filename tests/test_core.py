@@ -225,3 +225,52 @@ def test_entry_and_names(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
+
+
+def test_calls_are_translated():
+    from millrace.operators.trajectories import Translator
+
+    t = Translator()
+    run = lambda c: t("bash", {"command": c})
+    assert t("read_file", {"path": "/testbed/a.py", "start_line": "3", "end_line": "x"}) == ("read_file", {"filepath": "a.py", "start_line": 3})
+    assert t("edit_file", {"path": "a.py", "old_text": ""}) is None
+    assert t("write_file", {"path": "repro.py", "content": "assert f() == 1"}) is None  # remembered, not a step
+    assert run("python repro.py")[1]["args"] == ["assert f() == 1"]
+    assert run("python unknown.py") is None and run("rm -rf x") is None and run("echo hi") is None
+    assert run("python -m pytest x")[1] == {"skill_name": "test-gate", "file_path": "gate.py", "args": []}
+    assert run("python -c 'print(1)'")[1]["args"] == ["--eval", "print(1)"]
+    assert run("cd x && grep -rn 'foo bar' /testbed/src")[1]["args"] == ["foo bar", "src"]
+    assert run("grep -rn 'class Foo' .")[1]["args"] == ["--symbol", "Foo"]
+    assert run("ls -la /testbed/src")[1]["args"] == ["--file", "src"] and run("git status") == ("get_status", {})
+    assert t("str_replace_editor", {"command": "view", "path": "/testbed/src"})[1]["args"] == ["--file", "src"]
+    assert t("str_replace_editor", {"command": "str_replace", "path": "a.py", "old_str": "x", "new_str": "y"})[0] == "edit_file"
+    assert t("run_skill_script", {"skill_name": "code-map", "file_path": "grep.py"}) is None and t("finish", {}) == ("submit_patch", {})
+
+
+def test_conversations_fold(spark):
+    from millrace.operators import trajectories
+
+    say = lambda *calls: {"role": "assistant", "tool_calls": [{"function": {"name": n, "arguments": json.dumps(a)}} for n, a in calls]}
+    tool = lambda c: {"role": "tool", "content": c}
+    read = ("read_file", {"filepath": "a.py"})
+    talk = [{"role": "user", "content": " fix it "}, say(("think", {})), say(read), say(read), tool("one"), tool("two"), say(("edit_file", {"filepath": "a.py", "old_string": "x", "new_string": "y"})), tool("ok"), say(("finish", {})), tool("late")]
+    prompt, steps = trajectories.fold(talk)
+    assert prompt == "fix it" and [s["role"] for s in steps] == ["assistant", "tool"] * 3
+    assert steps[1]["content"] == "one" and steps[0]["calls"][0]["id"] == "call_0_0" and steps[-1]["content"] == "Patch submitted."
+    assert trajectories.fold(talk[:5]) is None and trajectories.fold(talk[1:]) is None
+    df = spark.createDataFrame([("t", json.dumps(talk)), ("bad", "{"), ("null", None)], "k string, m string")
+    assert [(r.k, r.n_steps) for r in trajectories.build(df, "k", "m").collect()] == [("t", 6)]
+
+
+def test_terminal_texts(spark):
+    from millrace.functions import terminal
+
+    assert terminal.style_codes("1;38;5;200;0") == [("1",), ("38", "5", "200"), ("0",)]
+    log = "___ test_a ___\nE boom\n___ test_b[x y] ___\n== 1 failed, 2 passed in 3s ==\n=== 2 failed, 30 passed, 1 skipped in 1.2s ===\n"
+    df = spark.createDataFrame([(log,), ("nothing",)], "t string")
+    assert [tuple(r[0]) for r in df.select(terminal.test_log(F.col("t"))).collect()] == [(30, 2, 0, 1), (0, 0, 0, 0)]
+    assert [r[0] for r in df.select(terminal.failure_names(F.col("t"))).collect()] == [["test_a", "test_b[x y]"], []]
+    assert col(spark, ["docs_src/a/b/tutorial001_py310.py", "docs_src/x.py", "src/a.py"], terminal.tutorial_test_path) == ["tests/test_tutorial/test_a_b/test_tutorial001.py", None, None]
+    assert terminal.pattern_fault("(a") and terminal.pattern_fault("a+") is None
+    d = spark.createDataFrame([("a\nb", "a\nc"), ("a", "a"), (None, "a")], "x string, y string").select(terminal.unified(F.col("x"), F.col("y")).alias("d")).collect()
+    assert "-b" in d[0].d and d[1].d == "" and d[2].d is None
