@@ -109,7 +109,7 @@ def c3(spark, d):
     return x.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
-@P.add("c5_similar_file_names", f"""WITH {STEPS}, p AS (SELECT DISTINCT action.filepath AS path, regexp_extract(action.filepath, '([^/_]{3})[^/]*\\.[A-Za-z]+$', 1) AS stem FROM steps WHERE action.filepath IS NOT NULL) SELECT stem, count(*) AS files, min(path) AS first_path FROM p WHERE stem <> '' GROUP BY 1 HAVING count(*) > 1""")
+@P.add("c5_similar_file_names", f"""WITH {STEPS}, p AS (SELECT DISTINCT action.filepath AS path, regexp_extract(action.filepath, '([^/_]{{3}})[^/]*\\.[A-Za-z]+$', 1) AS stem FROM steps WHERE action.filepath IS NOT NULL) SELECT stem, count(*) AS files, min(path) AS first_path FROM p WHERE stem <> '' GROUP BY 1 HAVING count(*) > 1""")
 def c5(spark, d):
     p = steps(spark, d).select(F.col("action.filepath").alias("path")).where("path is not null").distinct().withColumn("stem", F.regexp_extract("path", r"([^/_]{3})[^/]*\.[A-Za-z]+$", 1))
     return p.where("stem <> ''").groupBy("stem").agg(F.count("*").alias("files"), F.min("path").alias("first_path")).where("files > 1")
