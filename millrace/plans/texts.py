@@ -141,12 +141,11 @@ def m2(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha"), F.md5("text").alias("md"))
 
 
-@P.add("k10_metadata", """SELECT source, count(*) AS texts, max(coalesce(length(text), 0)) AS most_chars, sha256(string_agg(coalesce(md5(text), '-'), '' ORDER BY doc_id)) AS digest FROM documents GROUP BY 1""")
+@P.add("k10_metadata", """SELECT source, count(*) AS texts, max(coalesce(length(text), 0)) AS most_chars, sum(coalesce(('0x' || substr(md5(text), 1, 8))::BIGINT, 0))::BIGINT AS digest FROM documents GROUP BY 1""")
 def k10(spark, d):
-    """Counts and a digest over the rows' digests in order; a source's digests are 32 bytes a row, not its texts."""
-    rows = F.array_sort(F.collect_list(F.struct("doc_id", F.coalesce(F.md5("text"), F.lit("-")).alias("m"))))
-    x = table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("texts"), F.max(F.coalesce(F.length("text"), F.lit(0))).cast("long").alias("most_chars"), rows.alias("r"))
-    return x.select("source", "texts", "most_chars", F.sha2(F.array_join(F.transform("r", lambda s: s["m"]), ""), 256).alias("digest"))
+    """Counts and a digest of each source that needs no order: digests of rows are summed, none is gathered."""
+    part = F.coalesce(F.conv(F.substring(F.md5("text"), 1, 8), 16, 10).cast("long"), F.lit(0))
+    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("texts"), F.max(F.coalesce(F.length("text"), F.lit(0))).cast("long").alias("most_chars"), F.sum(part).alias("digest"))
 
 
 @P.add("m10_sequence_compare", f"""WITH {STEPS}, x AS (SELECT step_id, action.args AS a, lag(action.args) OVER (PARTITION BY task_id ORDER BY step_index, step_id) AS b FROM steps WHERE action.action_type = 'run_skill_script' AND action.args IS NOT NULL)
@@ -214,7 +213,10 @@ def c7(spark, d):
     return python_symbols(x.select("step_id", a.content.alias("content")), "step_id", "content")
 
 
-@P.add("k8_catalog", """WITH p AS (SELECT * FROM rag_points QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY ingested_at DESC) = 1) SELECT chapter, count(*) AS entries, md5(string_agg(point_id::VARCHAR, ',' ORDER BY point_id)) AS digest FROM p GROUP BY 1""")
+@P.add("k8_catalog", """WITH p AS (SELECT * FROM rag_points QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY ingested_at DESC) = 1) SELECT row_number() OVER (ORDER BY chapter NULLS FIRST, point_id) AS place, chapter, point_id FROM p""")
 def k8(spark, d):
-    ids = F.array_join(F.array_sort(F.collect_list("point_id")), ",")
-    return points(spark, d).groupBy("chapter").agg(F.count("*").alias("entries"), F.md5(ids).alias("digest"))
+    """Entries numbered in the order of the compiled catalog, by a range-partitioned sort."""
+    from millrace.operators.ordering import numbered
+
+    x = points(spark, d).select("chapter", "point_id")
+    return numbered(x, [F.col("chapter").asc_nulls_first(), F.col("point_id")], "place").select("place", "chapter", "point_id")
