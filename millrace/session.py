@@ -30,11 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names in ``spark.checkpoint.dir``; a folder of our own only where unset."""
+    """Use the shared folder that the cluster names in ``spark.checkpoint.dir``. Where it is unset: a temporary folder in
+    local mode, a folder in the warehouse (which executors share) elsewhere."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        told = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(told or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+        told = spark.conf.get("spark.checkpoint.dir", None)
+        if not told and not sc.master.startswith("local-cluster") and sc.master.startswith("local"):
+            told = tempfile.mkdtemp(prefix="millrace-checkpoint-")
+        sc.setCheckpointDir(told or spark.conf.get("spark.sql.warehouse.dir") + "/millrace-checkpoint")
 
 
 def cut(df: DataFrame) -> DataFrame:
