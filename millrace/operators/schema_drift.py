@@ -121,18 +121,26 @@ def matching(weights: np.ndarray) -> list[tuple[int, int]]:
     return [(int(match[j]), j) for j in range(m) if 0 <= match[j] < n and weights[match[j], j] > 0]
 
 
+MOVED, STAYED = 0.25, 0.2
+
+
 def pair_fields(before: dict[str, dict], after: dict[str, dict], kept: dict[tuple[str, str], float]) -> dict[str, str]:
-    """Fields of the file before -> fields of the file after. ``kept`` has the share of shared ids that keep a value."""
+    """Fields of the file before -> fields of the file after. ``kept`` has the share of shared ids that keep a value.
+
+    Other names pair only by values that moved; a name that stays pairs first by values that stayed, then for want of
+    evidence, and last against the evidence that its values went or came elsewhere. Sketches and names settle ties."""
     a, b = sorted(before), sorted(after)
+    moves = {p for p, share in kept.items() if p[0] != p[1] and share >= MOVED and p[0] in before and p[1] in after}
+    touched = {x for x, _ in moves}, {y for _, y in moves}
     w = np.zeros((len(a), len(b)))
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             share = kept.get((x, y), 0.0)
             if x == y:
-                w[i, j] = 0.75 + 0.5 * share
-            elif share >= 0.5:
+                w[i, j] = 1.5 + share if share >= STAYED else 0.1 if x in touched[0] or y in touched[1] else 0.5
+            elif (x, y) in moves:
                 s, t = set(before[x]["sketch"]), set(after[y]["sketch"])
-                w[i, j] = share + 0.01 * SequenceMatcher(None, x, y).ratio() + 0.01 * len(s & t) / max(1, len(s | t))
+                w[i, j] = 0.3 + share + 0.01 * SequenceMatcher(None, x, y).ratio() + 0.01 * len(s & t) / max(1, len(s | t))
     return {a[i]: b[j] for i, j in matching(w)} if a and b else {}
 
 
