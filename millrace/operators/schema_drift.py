@@ -166,24 +166,28 @@ def pairings(x: DataFrame) -> DataFrame:
     rows = rows.unionByName(prof.select("collection", (F.col("seq") + 1).alias("seq"), F.lit("before").alias("part"), "file_name", F.col("field").alias("x"), none.cast("string").alias("y"), none.cast("double").alias("share"), "kinds", "sketch"))
     rows = rows.unionByName(kept.select("collection", "seq", F.lit("kept").alias("part"), none.cast("string").alias("file_name"), "x", "y", "share", none.cast("array<string>").alias("kinds"), none.cast("array<long>").alias("sketch")))
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = lambda part: {r.x: {"kinds": list(r.kinds), "sketch": list(r.sketch)} for r in pdf[pdf.part == part].itertuples()}
-        before, after = own("before"), own("after")
-        out = []
-        if before and after:
-            name = pdf[pdf.part == "after"].file_name.iloc[0]
-            kept = {(r.x, r.y): r.share for r in pdf[pdf.part == "kept"].itertuples()}
-            pairs = pair_fields(before, after, kept)
-            for x, y in pairs.items():
-                k, m = before[x]["kinds"], after[y]["kinds"]
-                change = "renamed" if x != y else "retyped" if k and m and not set(k) & set(m) else None
-                out.append((name, change, x, y))
-            out += [(name, "removed", x, "") for x in before if x not in pairs]
-            out += [(name, "added", "", y) for y in after if y not in set(pairs.values())]
-        c, s = pdf.collection.iloc[0], int(pdf.seq.iloc[0])
-        return pd.DataFrame([(c, s, *r) for r in out], columns=["collection", "seq", "file_name", "change", "field_before", "field_after"])
-
-    return rows.groupBy("collection", "seq").applyInPandas(solve, "collection string, seq int, " + CHANGE)
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for c, seq, parts in zip(*(col.to_pylist() for col in batch.columns)):
+                before = {r["x"]: r for r in parts if r["part"] == "before"}
+                after = {r["x"]: r for r in parts if r["part"] == "after"}
+                if not before or not after:
+                    continue
+                name = next(iter(after.values()))["file_name"]
+                pairs = pair_fields(before, after, {(r["x"], r["y"]): r["share"] for r in parts if r["part"] == "kept"})
+                for x, y in pairs.items():
+                    k, m = before[x]["kinds"], after[y]["kinds"]
+                    out.append((c, seq, name, "renamed" if x != y else "retyped" if k and m and not set(k) & set(m) else None, x, y))
+                out += [(c, seq, name, "removed", x, "") for x in before if x not in pairs]
+                out += [(c, seq, name, "added", "", y) for y in after if y not in set(pairs.values())]
+            cols = list(zip(*out)) or [()] * 6
+            kinds = (pa.string(), pa.int32(), *[pa.string()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, kinds)], names=["collection", "seq", "file_name", "change", "field_before", "field_after"])
+
+    # a pair of files has one row per field of each and per pair of fields that share a value
+    parts = rows.groupBy("collection", "seq").agg(F.collect_list(F.struct("part", "file_name", "x", "y", "share", "kinds", "sketch")).alias("parts"))
+    return parts.mapInArrow(solve, "collection string, seq int, " + CHANGE)
 
 
 def changes(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str) -> DataFrame:
