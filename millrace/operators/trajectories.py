@@ -13,17 +13,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import PATH_ROOTS, SCRATCH
+
 Call = tuple[str, dict]
 # fixed values: helper scripts and the file that each one is
 SCRIPTS = {"fast-grep": "grep.py", "code-map": "map.py", "code-oracle": "oracle.py", "repro-check": "check.py", "test-gate": "gate.py"}
-_PATH_ROOTS = (r"^/?testbed/", r"^/?workspace/[^/]+/", r"^/?workspace/", r"^/?[a-zA-Z0-9_\-]+__[^/]+/")
-_THROWAWAY = re.compile(r"(?:^|/)(?:(?:repro|verify|debug|bug|poc|tmp|temp|scratch|issue|test_|check_)[^/]*|[^/]*_test)\.py$", re.I)
+_THROWAWAY = re.compile(SCRATCH)
 MOST, LEAST_STEPS = 40, 4
 
 
 def clean_path(p: object) -> str:
     p = str(p or "").strip()
-    for r in _PATH_ROOTS:
+    for r in PATH_ROOTS:
         p = re.sub(r, "", p)
     return p.lstrip("/")
 

@@ -274,3 +274,15 @@ def test_terminal_texts(spark):
     assert terminal.pattern_fault("(a") and terminal.pattern_fault("a+") is None
     d = spark.createDataFrame([("a\nb", "a\nc"), ("a", "a"), (None, "a")], "x string, y string").select(terminal.unified(F.col("x"), F.col("y")).alias("d")).collect()
     assert "-b" in d[0].d and d[1].d == "" and d[2].d is None
+
+
+def test_stream_state_and_sessions(spark, tmp_path):
+    src = tmp_path / "e"
+    spark.createDataFrame([("u", "run", "2024-01-01 00:00:00"), ("u", "run", "2024-01-01 00:01:00"), ("v", "edit_file", "2024-01-01 03:00:00")], "user string, kind string, at string").select("user", "kind", F.to_timestamp("at").alias("ts")).write.parquet(str(src))
+    stream = lambda: spark.readStream.schema("user string, kind string, ts timestamp").parquet(str(src))
+    q = jobs.probe_breaker(stream(), "user", "kind").writeStream.format("memory").queryName("breaker").outputMode("update").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {tuple(r) for r in spark.table("breaker").collect()} == {("u", 2, True), ("v", 0, False)}
+    s = jobs.sessions(stream(), "ts", "user", "10 minutes", "1 minute").writeStream.format("memory").queryName("sessions").outputMode("complete").trigger(availableNow=True).start()
+    s.awaitTermination()
+    assert {(r.user, r.n) for r in spark.table("sessions").collect()} == {("u", 2), ("v", 1)}
