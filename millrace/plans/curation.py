@@ -63,7 +63,7 @@ def j9(spark, d):
     return x.select("step_id", "source_step_id", F.col("source_step_id").isNull().alias("unmatched"))
 
 
-@P.add("p4_skip_reasons_by_source", f"""WITH {STEPS}, x AS (SELECT coalesce(source, 'none') AS source, CASE WHEN task_id IS NULL THEN 'no_task' WHEN task_id IN (SELECT instance_id FROM bench_tasks) THEN 'held_out' WHEN action.action_type IS NULL THEN 'no_action' WHEN source IS NULL THEN 'no_source' ELSE 'kept' END AS reason FROM steps)
+@P.add("pred4_skip_reasons_by_source", f"""WITH {STEPS}, x AS (SELECT coalesce(source, 'none') AS source, CASE WHEN task_id IS NULL THEN 'no_task' WHEN task_id IN (SELECT instance_id FROM bench_tasks) THEN 'held_out' WHEN action.action_type IS NULL THEN 'no_action' WHEN source IS NULL THEN 'no_source' ELSE 'kept' END AS reason FROM steps)
 SELECT source, reason, count(*) AS n FROM x GROUP BY 1, 2""")
 def p4_reasons(spark, d):
     held = table(spark, d, "bench_tasks").select(F.col("instance_id").alias("task_id")).distinct().withColumn("_held", F.lit(True))
@@ -104,7 +104,7 @@ def w9(spark, d):
     return steps(spark, d).groupBy("task_id").agg(F.max_by(ACT.action_type, at).alias("last_action"), F.min_by(ACT.action_type, at).alias("first_action"))
 
 
-@P.add("p17_structure", f"""WITH {STEPS} SELECT task_id, count(*) AS steps, bool_or(action.skill_name IN ('fast-grep', 'code-map')) AS discovers, bool_or(action.action_type = 'edit_file' AND action.filepath LIKE '%.py') AS edits,
+@P.add("pred17_structure", f"""WITH {STEPS} SELECT task_id, count(*) AS steps, bool_or(action.skill_name IN ('fast-grep', 'code-map')) AS discovers, bool_or(action.action_type = 'edit_file' AND action.filepath LIKE '%.py') AS edits,
  bool_or(action.skill_name IN ('repro-check', 'code-oracle', 'test-gate')) AS verifies, arg_max(action.action_type, (step_index, step_id)) = 'submit_patch' AS submits FROM steps GROUP BY 1""")
 def p17(spark, d):
     return steps(spark, d).groupBy("task_id").agg(
@@ -116,7 +116,7 @@ def p17(spark, d):
     )
 
 
-@P.add("p18_argument_contract", f"""WITH {STEPS}, x AS (SELECT action.skill_name AS skill, coalesce(len(action.args), 0) AS k, coalesce(action.args[1], '') AS a FROM steps WHERE action.action_type = 'run_skill_script')
+@P.add("pred18_argument_contract", f"""WITH {STEPS}, x AS (SELECT action.skill_name AS skill, coalesce(len(action.args), 0) AS k, coalesce(action.args[1], '') AS a FROM steps WHERE action.action_type = 'run_skill_script')
 SELECT skill, count(*) AS calls, count(*) FILTER (WHERE CASE skill WHEN 'fast-grep' THEN k BETWEEN 1 AND 2 AND trim(a) <> '' WHEN 'code-map' THEN k = 2 AND a IN ('--symbol', '--file') WHEN 'code-oracle' THEN k = 2 AND a IN ('--eval', '--hex', '--width', '--html-esc', '--schema', '--syntax')
  WHEN 'repro-check' THEN k > 0 AND (contains(a, 'assert ') OR a IN ('--expect-exception', '--b64')) WHEN 'test-gate' THEN k = 0 OR (k = 1 AND a IN ('--diff', '--status')) ELSE false END) AS valid FROM x GROUP BY 1""")
 def p18(spark, d):
@@ -132,7 +132,7 @@ def p18(spark, d):
     return x.groupBy(skill.alias("skill")).agg(F.count("*").alias("calls"), F.sum(F.coalesce(ok, F.lit(False)).cast("long")).alias("valid"))
 
 
-@P.add("p24_shards", f"WITH {STEPS} SELECT step_id % 7 AS shard, count(*) AS n FROM steps GROUP BY 1")
+@P.add("pred24_shards", f"WITH {STEPS} SELECT step_id % 7 AS shard, count(*) AS n FROM steps GROUP BY 1")
 def p24(spark, d):
     return steps(spark, d).groupBy(F.pmod("step_id", F.lit(7)).alias("shard")).agg(F.count("*").alias("n"))
 
@@ -259,14 +259,14 @@ def f6(spark, d):
     return x.select("step_id", "target", F.when(F.size("before") > 0, F.array_join("before", ">")).alias("context"))
 
 
-@P.add("p9_scratch_paths", rf"""WITH {STEPS}, x AS (SELECT DISTINCT action.filepath AS path FROM steps WHERE action.filepath IS NOT NULL), y AS (SELECT path, ltrim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(path), '^/?testbed/', ''), '^/?workspace/[^/]+/', ''), '^/?workspace/', ''), '^/?[a-zA-Z0-9_\-]+__[^/]+/', ''), '/') AS clean FROM x)
+@P.add("pred9_scratch_paths", rf"""WITH {STEPS}, x AS (SELECT DISTINCT action.filepath AS path FROM steps WHERE action.filepath IS NOT NULL), y AS (SELECT path, ltrim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(path), '^/?testbed/', ''), '^/?workspace/[^/]+/', ''), '^/?workspace/', ''), '^/?[a-zA-Z0-9_\-]+__[^/]+/', ''), '/') AS clean FROM x)
 SELECT path, clean, clean <> '' AND (clean LIKE 'tests/%' OR contains(clean, '/tests/') OR regexp_matches(clean, '(?i)(?:^|/)(?:repro[^/]*|reproduce[^/]*|test_[^/]*|[^/]*_test|verify[^/]*|check_[^/]*|debug[^/]*|bug[^/]*|poc[^/]*|tmp[^/]*|temp[^/]*|scratch[^/]*|issue[^/]*)\.py$')) AS scratch FROM y""")
 def p9_scratch(spark, d):
     x = steps(spark, d).select(ACT.filepath.alias("path")).where("path is not null").distinct()
     return x.select("path", X.workspace_path(F.col("path")).alias("clean"), X.is_scratch(F.col("path")).alias("scratch"))
 
 
-@P.add("p10_test_files", f"""WITH {STEPS}, x AS (SELECT DISTINCT action.filepath AS path FROM steps WHERE action.filepath IS NOT NULL) SELECT path, regexp_matches(lower(path), '(^|/)(tests|test|testing)(/|$)') OR starts_with(split_part(lower(path), '/', -1), 'test_') OR ends_with(lower(path), '_test.py') OR split_part(lower(path), '/', -1) IN ('conftest.py', 'pytest.ini') AS is_test FROM x""")
+@P.add("pred10_test_files", f"""WITH {STEPS}, x AS (SELECT DISTINCT action.filepath AS path FROM steps WHERE action.filepath IS NOT NULL) SELECT path, regexp_matches(lower(path), '(^|/)(tests|test|testing)(/|$)') OR starts_with(split_part(lower(path), '/', -1), 'test_') OR ends_with(lower(path), '_test.py') OR split_part(lower(path), '/', -1) IN ('conftest.py', 'pytest.ini') AS is_test FROM x""")
 def p10(spark, d):
     x = steps(spark, d).select(ACT.filepath.alias("path")).where("path is not null").distinct()
     return x.select("path", X.is_test_file(F.col("path")).alias("is_test"))

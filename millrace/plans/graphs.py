@@ -156,7 +156,7 @@ def a17(spark, d):
     return patches.file_stats(table(spark, d, "bench_tasks"), "instance_id", "patch")
 
 
-@P.add("p5_single_python_patch", r"""WITH s AS (SELECT instance_id, unnest(string_split(patch, chr(10))) AS l FROM bench_tasks), f AS (SELECT DISTINCT instance_id, regexp_replace(regexp_extract(l, '^(?:---|\+\+\+) (\S+)', 1), '^[ab]/', '') AS p FROM s WHERE regexp_matches(l, '^(---|\+\+\+) ')),
+@P.add("pred5_single_python_patch", r"""WITH s AS (SELECT instance_id, unnest(string_split(patch, chr(10))) AS l FROM bench_tasks), f AS (SELECT DISTINCT instance_id, regexp_replace(regexp_extract(l, '^(?:---|\+\+\+) (\S+)', 1), '^[ab]/', '') AS p FROM s WHERE regexp_matches(l, '^(---|\+\+\+) ')),
 g AS (SELECT instance_id, count(*) AS files, min(p) AS p FROM f WHERE p <> '/dev/null' AND p <> '' GROUP BY 1) SELECT b.instance_id, coalesce(g.files = 1 AND ends_with(g.p, '.py'), false) AS single_python FROM bench_tasks b LEFT JOIN g ON b.instance_id = g.instance_id""")
 def p5(spark, d):
     return table(spark, d, "bench_tasks").select("instance_id", X.is_single_python_patch(F.col("patch")).alias("single_python"))

@@ -72,12 +72,12 @@ def a16(spark, d):
     return x.agg(F.count("*").alias("matches"), F.countDistinct("step_id").alias("files"))
 
 
-@P.add("p23_foreign_sources", f"WITH {STEPS} SELECT task_id, bool_or(source IS NOT NULL AND source <> 'source_b') AS foreign_source FROM steps GROUP BY 1")
+@P.add("pred23_foreign_sources", f"WITH {STEPS} SELECT task_id, bool_or(source IS NOT NULL AND source <> 'source_b') AS foreign_source FROM steps GROUP BY 1")
 def p23(spark, d):
     return steps(spark, d).groupBy("task_id").agg(F.bool_or(F.col("source").isNotNull() & (F.col("source") != "source_b")).alias("foreign_source"))
 
 
-@P.add("p19_flat_actions", f"""WITH {STEPS} SELECT step_id, action.action_type AS kind, coalesce(action.filepath, action.file_path) AS path, CASE WHEN action.args IS NOT NULL THEN array_to_string(action.args, ' ') END AS args FROM steps""")
+@P.add("pred19_flat_actions", f"""WITH {STEPS} SELECT step_id, action.action_type AS kind, coalesce(action.filepath, action.file_path) AS path, CASE WHEN action.args IS NOT NULL THEN array_to_string(action.args, ' ') END AS args FROM steps""")
 def p19(spark, d):
     a = F.col("action")
     return steps(spark, d).select("step_id", a.action_type.alias("kind"), F.coalesce(a.filepath, a.file_path).alias("path"), F.array_join(a.args, " ").alias("args"))
