@@ -257,11 +257,12 @@ def similar_pairs(df: DataFrame, id_col: str, text_col: str, width: int = 3, lea
     return x.where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y"))).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def components(links: DataFrame, rounds: int = 30) -> DataFrame:
-    """(node, root): connected components of (a, b), root the least node, by alternating large and small stars; each
-    round is cut to the shared checkpoint folder."""
+def components(links: DataFrame) -> DataFrame:
+    """(node, root): connected components of (a, b), root the least node, by alternating large and small stars until
+    nothing changes (after a number of rounds that grows as the logarithm of the nodes); each round is cut to the shared
+    checkpoint folder."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    for _ in range(rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -82,7 +82,7 @@ class Merges:
         good = self.known.get(key)
         if good is None:
             good = self._compatible(a, b)
-            if len(self.known) < 2_000_000:
+            if len(self.known) < 600_000:
                 self.known[key] = good
         return good
 
