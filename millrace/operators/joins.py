@@ -22,6 +22,21 @@ def keep_only(df: DataFrame, key: str, held: DataFrame, held_key: str) -> DataFr
     return df.join(held.select(F.col(held_key).alias(key)).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
 
 
+FILTER_BITS = 1 << 23
+
+
+def prefiltered(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key may be among those of ``wanted``, before a join shuffles wide rows: a bitmap of FILTER_BITS bits
+    (1 MB at every size, in blocks of 4 KB) is built by aggregation and broadcast. Rows that get through wrongly are for
+    the join to drop; with far more keys than bits the filter lets more through and nothing else changes."""
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS)) + 1
+    bits = wanted.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("_block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    x = df.withColumn("_block", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "_block")
+    return x.where(F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1).drop("_block", "_bits")
+
+
 def compared(left: DataFrame, right: DataFrame, key: str, digest: str) -> DataFrame:
     """Full outer comparison of two manifests: only_left, only_right, differs or same per key."""
     x = left.select(key, F.col(digest).alias("l"), F.lit(True).alias("has_l")).join(right.select(key, F.col(digest).alias("r"), F.lit(True).alias("has_r")), key, "full_outer")

@@ -286,3 +286,11 @@ def test_stream_state_and_sessions(spark, tmp_path):
     s = jobs.sessions(stream(), "ts", "user", "10 minutes", "1 minute").writeStream.format("memory").queryName("sessions").outputMode("complete").trigger(availableNow=True).start()
     s.awaitTermination()
     assert {(r.user, r.n) for r in spark.table("sessions").collect()} == {("u", 2), ("v", 1)}
+
+
+def test_prefilter_loses_nothing(spark):
+    df = spark.range(5000).withColumn("wide", F.lit("x"))
+    wanted = spark.range(0, 5000, 37).select((F.col("id")).alias("id")).union(spark.createDataFrame([(10**9,)], "id long"))
+    kept = {r.id for r in joins.prefiltered(df, "id", wanted).collect()}
+    assert set(range(0, 5000, 37)) <= kept and len(kept) < 200
+    assert joins.prefiltered(df, "id", wanted.limit(0)).count() == 0
