@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.shingles import mix, shingle_sets
+from millrace.operators.joins import prefiltered
 from millrace.session import cut, stage
 
 SEGMENTS, CHAIN = 16, 6
@@ -221,7 +222,7 @@ def similar_sets(feats: DataFrame, threshold: float = 0.7) -> DataFrame:
     kept = left.where(pigeonring([F.col(f"a_sk{k}") for k in range(4)], [F.col(f"b_sk{k}") for k in range(4)], tau)).select("a", "b")
     kept = stage(kept, "pigeonring")
     wanted = kept.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    sets = feats.where(F.col("first")).select("sid", "sh").join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("sh").alias("sh"))
+    sets = prefiltered(feats.where(F.col("first")).select("sid", "sh"), "sid", wanted).join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("sh").alias("sh"))
     both = kept.join(sets.select(F.col("sid").alias("a"), F.col("sh").alias("sa")), "a").join(sets.select(F.col("sid").alias("b"), F.col("sh").alias("sb")), "b")
     full = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("shared"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
     # the Hamming distance na + nb - 2 shared is within tau
