@@ -7,6 +7,9 @@ stop that never ends a sentence after that token, and a final token that is an u
 list entries and closing lines are complete ends unless the trie or the length speaks against it. A length is evidence
 where far more texts of the source have it than have lengths near it.
 
+A closing line is the whole last paragraph of one in ``SHARE`` different texts of a source or of all, at least ``LEAST``,
+and of half as many as have a longer one with that beginning; copies of a text count once there.
+
 What is sent to the driver is bounded: words, stops and shapes that make up at least one in ``RARE`` of all, hence at
 most ``RARE`` each, and lengths of at least one in ``RARE_LENGTH`` texts. Null, empty and blank texts are not truncated.
 """
@@ -18,10 +21,11 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RARE, RARE_LENGTH, LEAST = 100_000, 2_000, 3
+RARE, RARE_LENGTH, LEAST, SHARE = 100_000, 2_000, 3, 500
 _WORD = re.compile(r"[^\W\d_]+")
 _DOT = re.compile(r"((?:[^\W\d_]+ )?v?\d[\d.]*|[^\W\d_]+)\.(?=(\s+\S|\S|\s*$))")
 _FENCE = re.compile(r"^\s{0,3}(?:```|~~~)", re.M)
@@ -35,7 +39,7 @@ _CLOSING = re.compile(
     r"|(?:status|verdict|state|stand|estado|état|状态|状態|结论|记录)\s*[:：]\s*\S+(?: \(\d+\))?|filed by run \d+|-- ?\w+(?: \w+)* \d+|end of report|not sure yet|to be continued)(?:…+|\.\.\.|。)?",
     re.I,
 )
-_STATS = "kind string, source string, key string, n long"
+_STATS = "kind string, source string, key string, digest long, n long"
 
 
 def last_paragraph(text: str) -> str:
@@ -61,12 +65,15 @@ def _dots(text: str) -> Iterator[tuple[str, bool]]:
 
 
 def statistics(df: DataFrame, text_col: str, source_col: str) -> DataFrame:
-    """(kind, source, key, n) summed over the corpus: words, stops that end or don't, final lines, lengths."""
+    """(kind, source, key, digest, n) summed over the corpus: words, stops that end or don't, final lines, lengths.
+
+    A final line has a row for each different text, known by a 64-bit digest; elsewhere the digest is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[str, Counter] = defaultdict(Counter)
             lengths: Counter = Counter()
+            last: Counter = Counter()
             for text, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not text or not text.strip():
                     continue
@@ -74,15 +81,37 @@ def statistics(df: DataFrame, text_col: str, source_col: str) -> DataFrame:
                 for key, ends in _dots(text):
                     counts["ends" if ends else "goes on"][key] += 1
                 p = last_paragraph(text)
-                counts["last"][shape(p)[:48]] += 1
+                last[source, shape(p)[:48], xxhash.xxh64_intdigest(text.strip().encode("utf-8", "surrogatepass")) - (1 << 63)] += 1
                 lengths[source, str(len(text))] += 1
                 counts["all"][""] += 1
-            rows = [(k, None, w, n) for k, c in counts.items() for w, n in c.items()] + [("length", s, w, n) for (s, w), n in lengths.items()]
-            cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64()))], names=["kind", "source", "key", "n"])
+            rows = [(k, None, w, None, n) for k, c in counts.items() for w, n in c.items()] + [("length", s, w, None, n) for (s, w), n in lengths.items()]
+            rows += [("last", *k, n) for k, n in last.items()]
+            cols = list(zip(*rows)) or [()] * 5
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["kind", "source", "key", "digest", "n"])
 
     x = df.select(F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source")).mapInArrow(run, _STATS)
-    return x.groupBy("kind", "source", "key").agg(F.sum("n").alias("n"))
+    return x.groupBy("kind", "source", "key", "digest").agg(F.sum("n").alias("n"))
+
+
+def closing_lines(last: DataFrame) -> list[str]:
+    """The closing lines among (source, key, digest) of the different texts, see above."""
+    by_source = last.groupBy("source", "key").agg(F.count("*").alias("n"))
+    texts = last.groupBy(F.col("source").alias("of")).agg(F.count("*").alias("texts"))
+    own = by_source.where(F.col("n") >= LEAST).join(texts, F.col("source").eqNullSafe(F.col("of"))).where(F.col("n") * SHARE >= F.col("texts")).select("key").distinct()
+    # a text that several sources have is one text of all
+    by_key = last.select("key", "digest").distinct().groupBy("key").agg(F.count("*").alias("n")).persist()
+    total = by_key.agg(F.sum("n")).first()[0] or 0
+    often = by_key.where((F.col("n") >= max(LEAST, total // RARE)) & (F.length("key") < 48))
+    found = {r.key: r.n for r in often.join(own.withColumn("own", F.lit(True)), "key", "left").where(F.col("own") | (F.col("n") * SHARE >= total)).select("key", "n").collect()}
+    longer: dict[str, int] = {}
+    if found:
+        few = last.sparkSession.createDataFrame([(k,) for k in found], "start string")
+        at = F.array(*[F.lit(n) for n in sorted({len(k) for k in found})])
+        starts = by_key.select("n", F.explode(F.transform(F.filter(at, lambda x: x < F.length("key")), lambda x: F.substring("key", F.lit(1), x))).alias("start"))
+        longer = {r.start: r.n for r in starts.join(F.broadcast(few), "start").groupBy("start").agg(F.sum("n").alias("n")).collect()}
+    by_key.unpersist()
+    return [k for k, n in found.items() if n >= 0.5 * longer.get(k, 0)]
 
 
 class Evidence:
@@ -93,7 +122,7 @@ class Evidence:
         self.best: dict[str, int] = {}  # the trie: the count of the most frequent word beyond each prefix
         self.ends: Counter = Counter()
         self.goes_on: Counter = Counter()
-        last: dict[str, int] = {}
+        self.closing: set[str] = set()
         lengths: dict[str | None, dict[int, int]] = defaultdict(dict)
         for kind, source, key, n in rows:
             if kind == "word":
@@ -105,17 +134,10 @@ class Evidence:
                 self.ends[key] = n
             elif kind == "goes on":
                 self.goes_on[key] = n
-            elif kind == "last":
-                last[key] = n
+            elif kind == "closing":
+                self.closing.add(key)
             elif kind == "length":
                 lengths[source][int(key)] = n
-        longer: Counter = Counter()
-        for key, n in last.items():
-            for i in range(1, len(key)):
-                longer[key[:i]] += n
-        # a closing line is the whole last paragraph far more often than its beginning
-        self.closing = {k for k, n in last.items() if n >= LEAST and len(k) < 48 and n >= 0.5 * longer[k]}
-        self.begun = {k for k in longer if k not in self.closing and any(c.startswith(k) and last[c] > 5 for c in self.closing)} if len(self.closing) < 500 else set()
         self.limits: dict[str | None, set[int]] = {}
         for source, h in lengths.items():
             total = sum(h.values())
@@ -192,9 +214,10 @@ def evidence(df: DataFrame, text_col: str, source_col: str) -> Evidence:
     least = F.lit(LEAST)
     for kind, n in total.items():
         part = RARE_LENGTH if kind == "length" else RARE
-        if kind != "all":
+        if kind not in ("all", "last"):
             least = F.when(F.col("kind") == kind, F.lit(max(2 if kind in ("length", "ends", "goes on") else LEAST, n // part))).otherwise(least)
-    rows = [tuple(r) for r in stats.where((F.col("n") >= least) & (F.col("kind") != "all")).select("kind", "source", "key", "n").collect()]
+    rows = [tuple(r) for r in stats.where((F.col("n") >= least) & ~F.col("kind").isin("all", "last")).select("kind", "source", "key", "n").collect()]
+    rows += [("closing", None, k, 0) for k in closing_lines(stats.where("kind = 'last'").select("source", "key", "digest"))]
     stats.unpersist()
     return Evidence(rows)
 

@@ -352,3 +352,21 @@ def test_cut_texts(spark):
     assert not any(out[i] for i, *_ in whole)
     assert truncated.judged(df.limit(0), "doc_id", "text", "source").count() == 0
     assert truncated.rates(df, "doc_id", "text", "source").where("source = 's'").first().truncated == 0
+
+
+def test_copies_of_a_cut_text_make_no_closing_line(spark):
+    body = "The gate holds the router of run 12.\n\n"
+    rows = [(i, body.replace("12", str(100 + i)) + f"The gate report names window {'abcdefghij'[i % 10]}{i % 7}.", "s") for i in range(60)]
+    rows += [(100 + i, body + "The gate repo", "s") for i in range(40)]  # copies: their end is no closing line
+    rows += [(200 + i, f"Stage {i} holds.\n\nThe gate report na", "t") for i in range(4)]  # often, but longer lines speak against it
+    rows += [(300 + i, f"Stage {i} ends.\n\nSigned off by karo", "s") for i in range(5)]  # a closing line that the corpus shows
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.id: r.cut for r in truncated.judged(df, "doc_id", "text", "source").collect()}
+    assert {i for i, c in out.items() if c} == {*range(100, 140), *range(200, 204)}
+
+
+def test_a_closing_line_needs_a_share_of_its_source(spark):
+    rows = [(i, f"Stage {i} of all holds.", "s") for i in range(4000)] + [(10_000 + i, f"Stage {i} ends.\n\nWe move the", "s") for i in range(4)]
+    rows += [(20_000 + i, f"Stage {i} ends.\n\nSigned off by karo", None) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.id for r in truncated.judged(df, "doc_id", "text", "source").where("cut is not null").collect()} == set(range(10_000, 10_004))
