@@ -43,10 +43,15 @@ _STATS = "kind string, source string, key string, digest long, n long"
 
 
 def last_paragraph(text: str) -> str:
-    """The text after the last blank line."""
+    """The text after the last blank line, whatever its length."""
     t = text.rstrip()
-    m = list(re.finditer(r"\n[^\S\n]*\n", t[-4000:]))
-    return t[-4000:][m[-1].end() :] if m else t[-4000:] if len(t) > 4000 else t
+    end = t.rfind("\n")
+    while end >= 0:
+        start = t.rfind("\n", 0, end)
+        if start >= 0 and not t[start + 1 : end].strip():
+            return t[end + 1 :]
+        end = start
+    return t
 
 
 def shape(line: str) -> str:
@@ -195,9 +200,7 @@ def is_cut(text: str | None, source: str | None, ev: Evidence) -> str | None:
         if at_limit or not entry or entry[-1] in "_-" or len(entry.split()) < usual or final and not entry.split()[-1] == final and ev.unknown_prefix(final):
             return "list"
         return None
-    core = p
-    while core and core[-1] in _CLOSERS:
-        core = core[:-1]
+    core = p.rstrip(_CLOSERS)
     if not _END.search(core):
         return "limit" if at_limit else "word" if final and ev.unknown_prefix(final) else "sentence"
     if _open(p):

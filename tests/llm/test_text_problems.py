@@ -370,3 +370,16 @@ def test_a_closing_line_needs_a_share_of_its_source(spark):
     rows += [(20_000 + i, f"Stage {i} ends.\n\nSigned off by karo", None) for i in range(4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert {r.id for r in truncated.judged(df, "doc_id", "text", "source").where("cut is not null").collect()} == set(range(10_000, 10_004))
+
+
+def test_long_last_paragraphs_are_read_whole():
+    ev = truncated.Evidence([])
+    long = "The gate holds the router of this run. " * 200
+    assert truncated.last_paragraph("A start.\n \t\n" + long + "\nAn end.\n") == long + "\nAn end."
+    assert truncated.last_paragraph("A start.\n\n\nAn end.") == "An end." and truncated.last_paragraph("\nOne\ntwo.") == "\nOne\ntwo."
+    assert truncated.is_cut("A start.\n\nIt said “stop. " + long, None, ev) == "sentence"
+    assert truncated.is_cut('A start.\n\nIt said "stop. ' + long, None, ev) == "sentence"
+    assert truncated.is_cut('A start.\n\nIt said "stop. ' + long + 'Go on." It holds.', None, ev) is None
+    entries = "- drop the gate\n" * 3 + "- merge it\n" * 500
+    assert truncated.is_cut(entries * 2 + "- drop the gate\n" * 600 + "- merge it\n" * 250 + "- merge it", None, ev) is None
+    assert truncated.is_cut("- drop the gate\n" * 600 + "- merge it\n" * 400 + "- merge it", None, ev) == "list"
