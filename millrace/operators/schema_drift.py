@@ -50,13 +50,14 @@ def _plain(v) -> str | None:
 _KINDS = {str: "string", int: "number", float: "number", bool: "boolean", dict: "object", list: "array"}
 
 
-def cells(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str, id_key: str = "id", values: bool = False) -> DataFrame:
-    """One row per key of every line, each line once. ``values`` keeps the values themselves."""
+def cells(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str, id_key: str = "id", values: bool = False, line_no: str | None = None) -> DataFrame:
+    """One row per key of every line, each line once. ``values`` keeps the values themselves, with the lines (by number, or
+    by digest without one) of records that have no id, else null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for c, f, n, line in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            out: list[list] = [[] for _ in range(9 if values else 8)]
+            for c, f, n, line, at in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 try:
                     record = json.loads(line)
                 except (ValueError, RecursionError):
@@ -65,16 +66,19 @@ def cells(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str
                     continue
                 own = record.get(id_key)
                 own = None if own is None else _plain(own)
+                place = at if values and own is None else None
                 for k, v in record.items():
                     p = _plain(v)
                     digest = None if p is None else xxhash.xxh64_intdigest(p.encode("utf-8", "surrogatepass")) - (1 << 63)
-                    for col, x in zip(out, (c, f, n, own, k, _KINDS.get(type(v)), digest, p.encode("utf-8", "replace").decode() if values and p is not None else None)):
+                    for col, x in zip(out, (c, f, n, own, k, _KINDS.get(type(v)), digest, p.encode("utf-8", "replace").decode() if values and p is not None else None, place)):
                         col.append(x)
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=[x.split()[0] for x in CELL.split(", ")])
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
-    rows = df.select(F.col(collection).cast("string").alias("collection"), F.col(file_name).cast("string").alias("file_name"), F.col(file_no).cast("int").alias("file_no"), F.col(raw).cast("string").alias("raw"))
-    return rows.where(F.col("raw").isNotNull()).mapInArrow(run, CELL).distinct()
+    schema = CELL + ", line long" * values
+    place = F.col(line_no).cast("long") if line_no else F.xxhash64(F.col(raw).cast("string"))
+    rows = df.select(F.col(collection).cast("string").alias("collection"), F.col(file_name).cast("string").alias("file_name"), F.col(file_no).cast("int").alias("file_no"), F.col(raw).cast("string").alias("raw"), place.alias("line"))
+    return rows.where(F.col("raw").isNotNull()).mapInArrow(run, schema).distinct()
 
 
 def _profiles(x: DataFrame) -> DataFrame:
@@ -197,27 +201,45 @@ def changes(df: DataFrame, collection: str, file_name: str, file_no: str, raw: s
     return pairings(x).where("change is not null").select("file_name", "change", "field_before", "field_after").distinct()
 
 
-def unified(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str, fields: list[str]) -> DataFrame:
-    """One row per collection and id with the columns ``fields``: every value under the first name that its column had,
-    as text, from the last file that has the id; names that match no field of ``fields`` are left out."""
-    x = stage(_located(cells(df, collection, file_name, file_no, raw, values=True)), "cells")
-    moved = pairings(x.drop("value"))
+def unified(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str, fields: list[str], line_no: str | None = None) -> DataFrame:
+    """One row per collection and id, and per file and line of a record without id, with the columns ``fields`` and the map
+    ``others`` of all other columns: every value as text under the first name that its column had, from the last file that
+    has the id. A column that came under another name and later took one of ``fields`` stands there, if no file
+    has another column there.
+    A name that comes anew while a column of that name goes on under another gets the file's place added (``text@4``)."""
+    x = stage(_located(cells(df, collection, file_name, file_no, raw, values=True, line_no=line_no)), "cells")
+    moved = pairings(x.drop("value", "line"))
     told = x.groupBy("collection", "seq", "field").agg(F.lit(1).alias("one")).select("collection", "seq", F.col("field").alias("field_after"))
     steps = told.join(moved.where("field_before <> '' and field_after <> ''").select("collection", "seq", "field_before", "field_after"), ["collection", "seq", "field_after"], "left")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         # the fields of a collection's files, in their order: a column keeps the name that it came with
         out, now = [], {}
-        for seq, part in pdf.sort_values("seq").groupby("seq"):
-            now = {r.field_after: now.get(r.field_before, r.field_after) if isinstance(r.field_before, str) else r.field_after for r in part.itertuples()}
-            out += [(pdf.collection.iloc[0], int(seq), k, v) for k, v in now.items()]
-        return pd.DataFrame(out, columns=["collection", "seq", "field", "column"])
+        for seq, part in pdf.sort_values(["seq", "field_after"]).groupby("seq"):
+            kept = {r.field_after: now.get(r.field_before, r.field_before) for r in part.itertuples() if isinstance(r.field_before, str)}
+            taken = set(kept.values())
+            now = kept | {f: f if f not in taken else f"{f}@{seq}" for f in part.field_after if f not in kept}
+            out += [(int(seq), k, v) for k, v in now.items()]
+        # a column that came under an odd name may end under a known one, unless a file has both
+        files: dict[str, set[int]] = {}
+        for s, _, v in out:
+            files.setdefault(v, set()).add(s)
+        later: dict[str, str] = {}
+        for v in list(files):
+            for name in sorted({k for _, k, w in out if w == v and k in fields}, reverse=True) if v not in fields else ():
+                if not files[v] & files.get(name, set()):
+                    later[v] = name
+                    files[name] = files.get(name, set()) | files[v]
+                    break
+        return pd.DataFrame([(pdf.collection.iloc[0], s, k, later.get(v, v)) for s, k, v in out], columns=["collection", "seq", "field", "column"])
 
     names = steps.groupBy("collection").applyInPandas(chain, "collection string, seq int, field string, column string")
-    # a column that came under an odd name may end under a known one
-    known = F.when(F.col("column").isin(fields), F.col("column"))
-    best = names.groupBy("collection", "column").agg(F.max(F.when(F.col("field").isin(fields), F.col("field"))).alias("later"))
-    names = names.join(best, ["collection", "column"]).select("collection", "seq", "field", F.coalesce(known, "later").alias("column")).where("column is not null")
-    y = x.where("id is not null").join(names, ["collection", "seq", "field"])
+    y = x.join(names, ["collection", "seq", "field"]).withColumn("file_name", F.when(F.col("id").isNull(), F.col("file_name")))
+    # the id itself is the row's, not a column of it
+    y = y.withColumn("column", F.when(F.col("id").isNull() | (F.col("field") != "id"), F.col("column")))
     last = [F.max_by(F.when(F.col("column") == f, F.col("value")), F.when(F.col("column") == f, F.struct("seq", "digest"))).alias(f) for f in fields]
-    return y.groupBy("collection", "id").agg(F.countDistinct("seq").alias("files"), *last)
+    cell = F.when(~F.col("column").isin(fields), F.struct("column", "seq", "digest", "value"))
+    z = y.groupBy("collection", "id", "file_name", "line").agg(F.countDistinct("seq").alias("files"), *last, F.sort_array(F.collect_set(cell)).alias("cells"))
+    newest = F.filter("cells", lambda c, i: (i == F.size("cells") - 1) | (F.get("cells", i + 1)["column"] != c["column"]))
+    others = F.map_from_entries(F.transform(newest, lambda c: F.struct(c["column"], c["value"])))
+    return z.select("collection", "id", "files", *fields, others.alias("others"), "file_name", "line")

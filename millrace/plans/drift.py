@@ -18,4 +18,4 @@ def p3_found(spark, d):
 
 @P.add("p3_unified")
 def p3_unified(spark, d):
-    return schema_drift.unified(table(spark, d, "rag_exports"), *EXPORT, PAYLOAD).withColumnRenamed("collection", "collection_name")
+    return schema_drift.unified(table(spark, d, "rag_exports"), *EXPORT, PAYLOAD, "line_no").withColumnRenamed("collection", "collection_name")

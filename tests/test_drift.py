@@ -76,3 +76,31 @@ def test_matching_is_the_best_one():
         x = w if n <= m else w.T
         best = max(sum(x[i, p[i]] for i in range(small)) for p in itertools.permutations(range(large), small))
         assert abs(got - best) < 1e-9
+
+
+def test_unified_keeps_every_column_and_records_without_id(spark):
+    f = {
+        1: [{"id": 1, "text": "a", "page": 3}, {"id": 2, "text": "b", "page": 4}, {"text": "x", "page": 9}],
+        2: [{"id": 1, "body": "a", "leaf": 3, "lang": "zh"}, {"id": 2, "body": "b", "leaf": 4}, {"body": "x", "note": "n"}, {"body": "x", "note": "n"}],
+        3: [{"id": 1, "body": "a", "leaf": 3, "text": "new"}, {"id": 2, "body": "b", "leaf": 5}],
+    }
+    df = spark.createDataFrame(rows(f) + rows(f)[:3], SCHEMA)
+    out = {(r.id, r.file_name, r.line): (r.files, r.text, r.others) for r in D.unified(df, *ARGS, ["text"], "line_no").collect()}
+    assert out == {
+        ("1", None, None): (3, "a", {"page": "3", "lang": "zh", "text@3": "new"}),
+        ("2", None, None): (3, "b", {"page": "5"}),
+        (None, "c/1", 2): (1, "x", {"page": "9"}),
+        (None, "c/2", 2): (1, "x", {"note": "n"}),
+        (None, "c/2", 3): (1, "x", {"note": "n"}),
+    }
+    assert D.unified(df, *ARGS, ["text"]).count() == 4  # without numbers, equal lines of a file are one
+
+
+def test_a_later_name_takes_no_other_columns_place(spark):
+    ids = range(1, 5)
+    f = {1: [{"id": i, "text": f"a{i}", "body": f"b{i}"} for i in ids], 2: [{"id": i, "body": f"a{i}", "text": f"b{i}"} for i in ids]}
+    out = {r.id: (r.text, r.others) for r in D.unified(spark.createDataFrame(rows(f), SCHEMA), *ARGS, ["text"]).collect()}
+    assert out == {str(i): (f"a{i}", {"body": f"b{i}"}) for i in ids}
+    g = {1: [{"id": i, "body": f"a{i}"} for i in ids], 2: [{"id": i, "text": f"a{i}"} for i in ids]}
+    out = {r.id: (r.text, r.others) for r in D.unified(spark.createDataFrame(rows(g), SCHEMA), *ARGS, ["text"]).collect()}
+    assert out == {str(i): (f"a{i}", {}) for i in ids}
