@@ -1,10 +1,12 @@
 """Recursive-descent recogniser for JavaScript (scripts and modules) with precedence climbing and panic-mode recovery.
 
-Simple statements are looked up by their shape (names and literals as placeholders), so each shape is parsed once."""
+Simple statements are looked up by their shape (names and literals as placeholders), so each shape is parsed once.
+Nesting has no bound of its own: calls of Python functions stand on the heap, and the interpreter's limit follows the text."""
 
 from __future__ import annotations
 
 import re
+import sys
 
 from millrace.llm.pysyntax import SyntaxFault
 
@@ -144,7 +146,7 @@ class _Js:
         self.toks, self.nl, self.lines = [*toks, "", "", ""], [*newline, True, True, True], [*lines, *[lines[-1] if lines else 1] * 3]
         self.i, self.tok = 0, self.toks[0]
         self.errors: list[tuple[int, str]] = []
-        self.depth = 0
+        self.pairs: dict[int, int] | None = None
 
     def next(self) -> str:
         t = self.tok
@@ -187,15 +189,6 @@ class _Js:
         return k
 
     def assign(self, no_in: bool = False) -> str:
-        self.depth += 1
-        if self.depth > 150:
-            raise SyntaxFault("nested too deeply")
-        try:
-            return self.assign_(no_in)
-        finally:
-            self.depth -= 1
-
-    def assign_(self, no_in: bool) -> str:
         t = self.tok
         if t == "yield" and (self.peek() in ("*", ";", ")", "]", "}", ",", "", "N", "S", "0", "T", "(", "[", "{", "this", "new", "null", "true", "false") or self.nl[self.i + 1]):
             self.next()
@@ -231,18 +224,14 @@ class _Js:
         return k
 
     def closing(self, i: int) -> int:
-        depth = 0
-        toks = self.toks
-        while i < len(toks) - 3:
-            t = toks[i]
-            if t in ("(", "[", "{"):
-                depth += 1
-            elif t in (")", "]", "}"):
-                depth -= 1
-                if not depth:
-                    return i
-            i += 1
-        return 0
+        if self.pairs is None:
+            self.pairs, opened = {}, []
+            for j, t in enumerate(self.toks):
+                if t in ("(", "[", "{"):
+                    opened.append(j)
+                elif t in (")", "]", "}") and opened:
+                    self.pairs[opened.pop()] = j
+        return self.pairs.get(i, 0)
 
     def arrow(self, no_in: bool) -> str:
         self.want("=>")
@@ -558,16 +547,12 @@ class _Js:
 
     def block(self) -> None:
         self.want("{")
-        self.depth += 1
-        if self.depth > 150:
-            raise SyntaxFault("nested too deeply")
         self.list("}")
-        self.depth -= 1
         self.want("}")
 
     def list(self, end: str) -> None:
         while self.tok not in (end, ""):
-            start, depth = self.i, self.depth
+            start = self.i
             try:
                 self.statement()
             except SyntaxFault as e:
@@ -575,7 +560,6 @@ class _Js:
                 if len(self.errors) >= 50:
                     self.to(len(self.toks) - 3)
                     return
-                self.depth = depth
                 self.to(max(self.i, start + 1) if self.tok else self.i)  # panic mode: past the next ; or to a }
                 while self.tok not in (";", "}", ""):
                     self.next()
@@ -609,11 +593,7 @@ class _Js:
     def statement(self) -> None:
         if self.tok not in ("{", "}", "function", "class", "if", "for", "while", "do", "try", "switch") and self.known():
             return
-        self.depth += 1
-        if self.depth > 150:
-            raise SyntaxFault("nested too deeply")
         self.statement_()
-        self.depth -= 1
 
     def paren(self) -> None:
         self.want("(")
@@ -644,7 +624,11 @@ class _Js:
             self.next()
             self.paren()
             self.statement()
-            if self.take("else"):
+            while self.take("else"):
+                if not self.take("if"):
+                    self.statement()
+                    break
+                self.paren()
                 self.statement()
         elif t == "for":
             self.for_()
@@ -807,13 +791,15 @@ class _Js:
 
 def js_errors(text: str) -> list[tuple[int, str]]:
     """All (line, message) that the recogniser finds; empty for a valid text."""
-    toks, nl, lines, errors = _tokens(text)
-    p = _Js(toks, nl, lines)
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(min(limit + 1_000 + 16 * len(text), (1 << 31) - 1))  # a token opens eight calls at most
     try:
+        toks, nl, lines, errors = _tokens(text)
+        p = _Js(toks, nl, lines)
         while True:
             p.list("")
             if not p.tok:
                 break
-    except RecursionError:
-        errors.append((1, "nested too deeply"))
-    return sorted(errors + p.errors)
+        return sorted(errors + p.errors)
+    finally:
+        sys.setrecursionlimit(limit)

@@ -383,3 +383,13 @@ def test_long_last_paragraphs_are_read_whole():
     entries = "- drop the gate\n" * 3 + "- merge it\n" * 500
     assert truncated.is_cut(entries * 2 + "- drop the gate\n" * 600 + "- merge it\n" * 250 + "- merge it", None, ev) is None
     assert truncated.is_cut("- drop the gate\n" * 600 + "- merge it\n" * 400 + "- merge it", None, ev) == "list"
+
+
+def test_javascript_of_any_depth():
+    n = 3000
+    chain = "if (a) { b(); }" + " else if (a) { b(); }" * n
+    deep = [chain, chain + " else c();", "x = " + "a ? b : " * n + "c;", "x = " + "(" * n + "a" + ")" * n + ";", "x = " + "[" * n + "]" * n + ";", "{" * n + "}" * n, "x = " + "{a: " * n + "1" + "}" * n + ";",
+            "x = " + "(a) => " * n + "b;", "f(function () {" * n + "})" * n, "if (a) " * n + "b();", "x = " + "!" * n + "a;"]
+    assert [js_errors(t) for t in deep] == [[]] * len(deep)
+    assert js_errors(chain + " else if (a { b(); }")[0][0] == 1 and js_errors("x = " + "(" * n + "a" + ")" * (n - 1) + ";")
+    assert js_errors("if (a) b(); else if (c) d(); else e(); else f();")
