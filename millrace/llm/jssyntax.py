@@ -557,9 +557,6 @@ class _Js:
                 self.statement()
             except SyntaxFault as e:
                 self.errors.append((self.lines[self.i], str(e)))
-                if len(self.errors) >= 50:
-                    self.to(len(self.toks) - 3)
-                    return
                 self.to(max(self.i, start + 1) if self.tok else self.i)  # panic mode: past the next ; or to a }
                 while self.tok not in (";", "}", ""):
                     self.next()

@@ -393,3 +393,9 @@ def test_javascript_of_any_depth():
     assert [js_errors(t) for t in deep] == [[]] * len(deep)
     assert js_errors(chain + " else if (a { b(); }")[0][0] == 1 and js_errors("x = " + "(" * n + "a" + ")" * (n - 1) + ";")
     assert js_errors("if (a) b(); else if (c) d(); else e(); else f();")
+
+
+def test_all_errors_of_a_large_broken_javascript_file():
+    text = "let a = 1;\nlet = = 2;\n" * 300
+    found = js_errors(text)
+    assert {line for line, _ in found} == set(range(2, 601, 2))
