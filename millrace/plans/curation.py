@@ -166,10 +166,20 @@ def f5(spark, d):
     return folds.remembered(x, "task_id", ORDER, F.col("path"), F.col("w"), "remembered").select("step_id", "remembered")
 
 
+def reconciled(observation):
+    o = F.when(ACT.action_type == "submit_patch", "Patch submitted.").when((ACT.skill_name == "repro-check") & F.coalesce(F.get(ACT.args, F.lit(0)), F.lit("")).contains("assert"), "Assertion passed.")
+    return o.when(ACT.new_string.isNotNull(), observation).otherwise("Success.")
+
+
 @P.add("f8_reconciled", f"""WITH {STEPS} SELECT step_id, CASE WHEN action.action_type = 'submit_patch' THEN 'Patch submitted.' WHEN action.skill_name = 'repro-check' AND contains(coalesce(action.args[1], ''), 'assert') THEN 'Assertion passed.' WHEN action.new_string IS NOT NULL THEN left(action.new_string, 40) ELSE 'Success.' END AS observation FROM steps""")
 def f8(spark, d):
-    o = F.when(ACT.action_type == "submit_patch", "Patch submitted.").when((ACT.skill_name == "repro-check") & F.coalesce(F.get(ACT.args, F.lit(0)), F.lit("")).contains("assert"), "Assertion passed.")
-    return steps(spark, d).select("step_id", o.when(ACT.new_string.isNotNull(), F.left(ACT.new_string, F.lit(40))).otherwise("Success.").alias("observation"))
+    return steps(spark, d).select("step_id", reconciled(F.left(ACT.new_string, F.lit(40))).alias("observation"))
+
+
+@P.add("f8_observations", f"""WITH {STEPS} SELECT step_id, CASE WHEN action.action_type = 'submit_patch' THEN 'Patch submitted.' WHEN action.skill_name = 'repro-check' AND contains(coalesce(action.args[1], ''), 'assert') THEN 'Assertion passed.' WHEN action.new_string IS NOT NULL THEN action.new_string ELSE 'Success.' END AS observation FROM steps""")
+def f8_observations(spark, d):
+    """The whole observations; ``f8_reconciled`` shows the first 40 characters of each."""
+    return steps(spark, d).select("step_id", reconciled(ACT.new_string).alias("observation"))
 
 
 @P.add("f9_diagnosis", f"""WITH {STEPS}, x AS (SELECT task_id, count(*) AS n, max(source_step_index) AS most, count(*) FILTER (WHERE action.action_type = 'edit_file' AND action.old_string IS NOT DISTINCT FROM action.new_string) AS idle, arg_max(action.action_type, (step_index, step_id)) AS last, count(*) FILTER (WHERE source_step_index < 0) AS below FROM steps GROUP BY 1)

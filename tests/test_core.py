@@ -294,3 +294,16 @@ def test_prefilter_loses_nothing(spark):
     kept = {r.id for r in joins.prefiltered(df, "id", wanted).collect()}
     assert set(range(0, 5000, 37)) <= kept and len(kept) < 200
     assert joins.prefiltered(df, "id", wanted.limit(0)).count() == 0
+
+
+def test_observations_are_whole(spark):
+    import __spark_entry__ as e
+    from millrace.plans.base import steps
+
+    d = f"{e.DATA}/sf0.001"
+    q = e.queries()
+    rows = q["f8_observations"](spark, d).join(steps(spark, d).select("step_id", "action.new_string"), "step_id").collect()
+    own = [r for r in rows if r.observation not in ("Patch submitted.", "Assertion passed.", "Success.")]
+    assert all(r.observation == r.new_string for r in own) and any(len(r.observation) > 40 for r in own)
+    short = {r.step_id: r.observation for r in q["f8_reconciled"](spark, d).collect()}
+    assert short == {r.step_id: r.observation[:40] for r in rows}
