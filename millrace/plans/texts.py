@@ -75,6 +75,12 @@ def t17(spark, d):
     return table(spark, d, "documents").select("doc_id", F.hex(F.encode(F.left("text", F.lit(16)), "UTF-8")).alias("head"))
 
 
+@P.add("t17_hex_rows")
+def t17_rows(spark, d):
+    """The whole dump in rows of 16 bytes; ``t17_hex_head`` shows the first 16 characters."""
+    return table(spark, d, "documents").select("doc_id", F.inline(X.hex_rows(F.col("text"))))
+
+
 @P.add("t20_lengths", "SELECT doc_id, length(text) AS points, strlen(text)::BIGINT AS bytes, (length(text) + length(regexp_replace(text, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')))::BIGINT AS units FROM documents")
 def t20(spark, d):
     t = F.col("text")

@@ -307,3 +307,13 @@ def test_observations_are_whole(spark):
     assert all(r.observation == r.new_string for r in own) and any(len(r.observation) > 40 for r in own)
     short = {r.step_id: r.observation for r in q["f8_reconciled"](spark, d).collect()}
     assert short == {r.step_id: r.observation[:40] for r in rows}
+
+
+def test_hex_rows_are_whole(spark):
+    from millrace.functions.text import hex_rows
+
+    texts = ["", "a", "0123456789abcdef", "ab\n\t\x00é水 ~\x7f" * 40, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted(tuple(r) for r in df.select("id", F.inline(hex_rows(F.col("text")))).collect())
+    raw = [(i, (t or "").encode()) for i, t in enumerate(texts)]
+    assert got == [(i, o, b[o : o + 16].hex().upper(), "".join(chr(x) if 32 <= x < 127 else "." for x in b[o : o + 16])) for i, b in raw for o in range(0, len(b), 16)]
