@@ -1,45 +1,56 @@
 """Problem 9: text cut off by field limits or broken transfers.
 
-Two passes over the corpus. The first gathers statistics of all texts: a vocabulary of words with counts (kept as a trie),
-how tokens with a full stop go on, the shapes of final lines, and how often each source has each length. The second
-judges every text by its end: cut marks, an open code block, a last sentence without an end, an open quotation, a full
-stop that never ends a sentence after that token, and a final token that is an unknown proper prefix of known words;
-list entries and closing lines are complete ends unless the trie or the length speaks against it. A length is evidence
-where far more texts of the source have it than have lengths near it.
-
-A closing line is the whole last paragraph of one in ``SHARE`` different texts of a source or of all, at least ``LEAST``,
-and of half as many as have a longer one with that beginning; copies of a text count once there.
-
-What is sent to the driver is bounded: words, stops and shapes that make up at least one in ``RARE`` of all, hence at
-most ``RARE`` each, and lengths of at least one in ``RARE_LENGTH`` texts. Null, empty and blank texts are not truncated.
+A corpus shows itself how whole texts end: every paragraph, heading or list entry that something follows is whole. One
+pass over all texts counts the tokens of the corpus (a run of letters of a spaced script, one character of an unspaced
+one or a run of digits, each with the marks after it), how often each stands at such a whole end, and in what class of
+ends it falls. The tokens with their counts are the vocabulary trie: a cut at a random place leaves the token T as often
+as the words beyond the trie's node T occur, a whole text as often as T stands at whole ends. So the final token of a
+text weighs
+
+    log P(class | cut) / P(class | whole)  +  log (ends expected of T's node in its class + 1) / (ends of T seen + 1)
+
+An unknown proper prefix of known words gets a high second term (many words beyond, no ends), and so do stops of
+abbreviations and the first words of list entries; a token that ends entries gets a low one. To that come the prior
+``PRIOR``, an open quotation or bracket (how often whole paragraphs and their first parts leave one open) and the length:
+far more different texts of the source with this length than with lengths near it. Length tells that a text was cut, not
+that it broke inside a sentence, so it adds at most ``MOST_LENGTH``. An open code block and a broken code point are cut
+whatever they end with. A bracketed or dotted sign at the very end is taken off and the rest is judged, as cuts are often marked.
+
+A last paragraph of one line that recurs is a closing line: the whole last paragraph of one in ``SHARE`` different texts
+of a source or of all, at least ``LEAST``, and of half as many as have a longer one with that beginning. Copies of a text
+count once there and in the lengths.
+
+All statistics stay in tables, of whole texts, and are joined; nothing of the corpus goes to the driver but the distinct
+lengths of closing lines. Null, empty and blank texts are not truncated. Extra columns are ignored; an empty table gives
+an empty result; a text of any length is judged whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RARE, RARE_LENGTH, LEAST, SHARE = 100_000, 2_000, 3, 500
-_WORD = re.compile(r"[^\W\d_]+")
-_DOT = re.compile(r"((?:[^\W\d_]+ )?v?\d[\d.]*|[^\W\d_]+)\.(?=(\s+\S|\S|\s*$))")
-_FENCE = re.compile(r"^\s{0,3}(?:```|~~~)", re.M)
-_LIST = re.compile(r"\s*(?:[-*•+]|\d+[.)])(?:\s+|$)")
-_END = re.compile(r"[.!?。！？؟।॥．]$")
-_CUT = re.compile(r"(?:…|\.\.\.|�|[\[(（<【]\s*(?:…|\.\.\.|truncated|cut(?: off)?|截断|截斷|snip|more|continued)\s*[\])）>】])\s*$", re.I)
-_CLOSERS = "”’」』》〉)）]】\"'»“*_`"
-# fixed values: common closing lines, used where a corpus is too small to show its own
-_CLOSING = re.compile(
-    r"(?:thanks(?: in advance)?|thank you|best|regards|cheers|cc \w+|merci d'avance|danke im voraus|gracias de antemano|以上|完|待续|未完待续|謝謝|谢谢|よろしくお願いします"
-    r"|(?:status|verdict|state|stand|estado|état|状态|状態|结论|记录)\s*[:：]\s*\S+(?: \(\d+\))?|filed by run \d+|-- ?\w+(?: \w+)* \d+|end of report|not sure yet|to be continued)(?:…+|\.\.\.|。)?",
-    re.I,
-)
-_STATS = "kind string, source string, key string, digest long, n long"
+from millrace.operators.joins import maybe_broadcast
+from millrace.session import stage
+
+LEAST, SHARE = 3, 500
+PRIOR, MOST_LENGTH, SMOOTH = -2.2, 3.0, 1.0
+_UNSPACED = "⺀-⿟々-〇぀-ヿ㐀-䶿一-鿿豈-﫿฀-໿က-႟ក-៿"
+_TOKEN = re.compile(rf"(?:[{_UNSPACED}]|_?[^\W\d_{_UNSPACED}]+|_?0|_+)[^\w\s]*|[^\w\s]+")
+_DIGITS = re.compile(r"\d+")
+_BLANK = re.compile(r"\n[^\S\n]*(?=\n)")
+_FENCE = re.compile(r"^[ ]{0,3}(?:```|~~~)[^\n]*$", re.M)
+_ENTRY = re.compile(r"^[^\S\n]*(?:([-*•+]|\d+[.)])|#{1,6})(?:[^\S\n]+([^\n]*))?$", re.M)
+_MARKED = re.compile(r"\s*(?:…|\.\.\.|[\[(（<【][^\[\](（）)<>【】\n]{1,16}[\])）>】])$")
+_OPENS, _SHUTS = "「『（(《«“„[【", "」』）)》»”“]】"
+_STATS = "kind string, token string, class string, n long, k long"
+_ENDS = "id long, source string, length int, digest long, kind string, token string, class string, line string, state string, open boolean"
 
 
 def last_paragraph(text: str) -> str:
@@ -54,192 +65,214 @@ def last_paragraph(text: str) -> str:
     return t
 
 
-def shape(line: str) -> str:
-    return re.sub(r"\d+", "0", line.strip())
+def _plain(text: str) -> str:
+    return _DIGITS.sub("0", text).lower()
+
+
+def last_token(line: str) -> str:
+    """The final token of a line in plain form, with the marks after it."""
+    found = ""
+    for m in _TOKEN.finditer(line, max(0, line.rfind(" ") + 1)):
+        found = m[0]
+    return found
+
+
+def token_class(token: str) -> str:
+    """What kind of characters a token has, and the marks after it."""
+    head = token[:2].lstrip("_")[:1]
+    marks = re.sub(r"^[\w]+", "", token)
+    letter = "" if not head or not (head.isalnum()) else "0" if head == "0" else "c" if re.match(f"[{_UNSPACED}]", head) else "a"
+    return letter + marks[:1] + marks[-1:]
 
 
-def _dots(text: str) -> Iterator[tuple[str, bool]]:
-    """Tokens before full stops, and whether the stop ended a sentence."""
-    for m in _DOT.finditer(text):
-        after = m[2]
-        key = re.sub(r"\d[\d.]*", "0", m[1]).lower()
-        if not after.strip():
-            continue  # the end of the text says nothing about its token
-        ends = after[0].isspace() and not (after.strip()[0].islower() or after.strip()[0].isdigit())
-        yield key, ends
+def left_open(p: str) -> bool:
+    """Whether a paragraph leaves a quotation or bracket open."""
+    last: dict[str, int] = {}
+    for i, (a, b) in enumerate(zip(_OPENS, _SHUTS)):
+        if a == "“" and "„" in p:
+            continue  # there it closes
+        k = p.rfind(a)
+        if k >= 0 and p.find(b, k + 1) < 0:
+            return True
+    return p.count('"') % 2 == 1
+
 
+def _parts(text: str) -> tuple[list[str], bool]:
+    """The text outside of code blocks, and whether the last one is open."""
+    if "```" not in text and "~~~" not in text:
+        return [text], False
+    parts = _FENCE.split(text)
+    return parts[::2], len(parts) % 2 == 0
 
-def statistics(df: DataFrame, text_col: str, source_col: str) -> DataFrame:
-    """(kind, source, key, digest, n) summed over the corpus: words, stops that end or don't, final lines, lengths.
 
-    A final line has a row for each different text, known by a 64-bit digest; elsewhere the digest is null."""
+def statistics(df: DataFrame, text_col: str) -> DataFrame:
+    """(kind, token, class, n, k) over the corpus: how often each token stands in prose (p), list entries (l) and headings
+    (h; a first line that a blank one follows is one), and how often at a whole end there. Kind ``o`` counts paragraphs: whole ones and, under the token ``cut``, their
+    first parts up to a place that their digest draws; k of them leave a quotation or bracket open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[str, Counter] = defaultdict(Counter)
-            lengths: Counter = Counter()
-            last: Counter = Counter()
-            for text, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not text or not text.strip():
+            seen: dict[str, Counter] = {"p": Counter(), "l": Counter(), "h": Counter()}
+            ends: dict[str, Counter] = {"p": Counter(), "l": Counter(), "h": Counter()}
+            opened, whole = Counter(), 0
+            for text in batch.column(0).to_pylist():
+                if not text:
                     continue
-                counts["word"].update(w.lower() for w in _WORD.findall(text))
-                for key, ends in _dots(text):
-                    counts["ends" if ends else "goes on"][key] += 1
-                p = last_paragraph(text)
-                last[source, shape(p)[:48], xxhash.xxh64_intdigest(text.strip().encode("utf-8", "surrogatepass")) - (1 << 63)] += 1
-                lengths[source, str(len(text))] += 1
-                counts["all"][""] += 1
-            rows = [(k, None, w, None, n) for k, c in counts.items() for w, n in c.items()] + [("length", s, w, None, n) for (s, w), n in lengths.items()]
-            rows += [("last", *k, n) for k, n in last.items()]
-            cols = list(zip(*rows)) or [()] * 5
+                parts, _ = _parts(text.rstrip())
+                for at, part in enumerate(parts):
+                    final = at == len(parts) - 1
+                    part = _plain(part)
+                    prose, cut = [], 0
+                    for m in _ENTRY.finditer(part):
+                        prose.append(part[cut : m.start()])
+                        cut = m.end()
+                        kind = "l" if m[1] else "h"
+                        tokens = _TOKEN.findall(m[2] or "")
+                        seen[kind].update(tokens)
+                        if tokens and not (final and m.end() == len(part)):
+                            ends[kind][tokens[-1]] += 1
+                    prose.append(part[cut:])
+                    for k, run_of in enumerate(prose):
+                        if not run_of.strip():
+                            continue
+                        paragraphs = [p for p in _BLANK.split(run_of) if p.strip()]
+                        rest = final and k == len(prose) - 1
+                        if at == k == 0 and "\n" not in paragraphs[0].strip() and len(paragraphs) > rest:
+                            tokens = _TOKEN.findall(paragraphs.pop(0))
+                            seen["h"].update(tokens)
+                            ends["h"].update(tokens[-1:])
+                        for p in paragraphs:
+                            seen["p"].update(_TOKEN.findall(p))
+                        if rest:
+                            paragraphs.pop()
+                        for p in paragraphs:
+                            p = p.strip()
+                            ends["p"][last_token(p)] += 1
+                            whole += 1
+                            opened["whole"] += left_open(p)
+                            opened["cut"] += left_open(p[: xxhash.xxh32_intdigest(p.encode("utf-8", "surrogatepass")) % len(p) + 1])
+            rows = [(kind, t, token_class(t), n, ends[kind][t]) for kind, c in seen.items() for t, n in c.items()]
+            rows += [("o", w, "", whole, opened[w]) for w in ("whole", "cut")]
+            cols = list(zip(*rows))
             kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["kind", "source", "key", "digest", "n"])
-
-    x = df.select(F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source")).mapInArrow(run, _STATS)
-    return x.groupBy("kind", "source", "key", "digest").agg(F.sum("n").alias("n"))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["kind", "token", "class", "n", "k"])
 
+    x = df.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, _STATS)
+    return x.groupBy("kind", "token", "class").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
 
-def closing_lines(last: DataFrame) -> list[str]:
-    """The closing lines among (source, key, digest) of the different texts, see above."""
-    by_source = last.groupBy("source", "key").agg(F.count("*").alias("n"))
-    texts = last.groupBy(F.col("source").alias("of")).agg(F.count("*").alias("texts"))
-    own = by_source.where(F.col("n") >= LEAST).join(texts, F.col("source").eqNullSafe(F.col("of"))).where(F.col("n") * SHARE >= F.col("texts")).select("key").distinct()
-    # a text that several sources have is one text of all
-    by_key = last.select("key", "digest").distinct().groupBy("key").agg(F.count("*").alias("n")).persist()
-    total = by_key.agg(F.sum("n")).first()[0] or 0
-    often = by_key.where((F.col("n") >= max(LEAST, total // RARE)) & (F.length("key") < 48))
-    found = {r.key: r.n for r in often.join(own.withColumn("own", F.lit(True)), "key", "left").where(F.col("own") | (F.col("n") * SHARE >= total)).select("key", "n").collect()}
-    longer: dict[str, int] = {}
-    if found:
-        few = last.sparkSession.createDataFrame([(k,) for k in found], "start string")
-        at = F.array(*[F.lit(n) for n in sorted({len(k) for k in found})])
-        starts = by_key.select("n", F.explode(F.transform(F.filter(at, lambda x: x < F.length("key")), lambda x: F.substring("key", F.lit(1), x))).alias("start"))
-        longer = {r.start: r.n for r in starts.join(F.broadcast(few), "start").groupBy("start").agg(F.sum("n").alias("n")).collect()}
-    by_key.unpersist()
-    return [k for k, n in found.items() if n >= 0.5 * longer.get(k, 0)]
-
-
-class Evidence:
-    """The statistics as the judge needs them: tries of words and of final lines, stops, and limits of the sources."""
-
-    def __init__(self, rows: list[tuple[str, str | None, str, int]]):
-        self.words: dict[str, int] = {}
-        self.best: dict[str, int] = {}  # the trie: the count of the most frequent word beyond each prefix
-        self.ends: Counter = Counter()
-        self.goes_on: Counter = Counter()
-        self.closing: set[str] = set()
-        lengths: dict[str | None, dict[int, int]] = defaultdict(dict)
-        for kind, source, key, n in rows:
-            if kind == "word":
-                self.words[key] = n
-                for i in range(1, len(key)):
-                    if n > self.best.get(key[:i], 0):
-                        self.best[key[:i]] = n
-            elif kind == "ends":
-                self.ends[key] = n
-            elif kind == "goes on":
-                self.goes_on[key] = n
-            elif kind == "closing":
-                self.closing.add(key)
-            elif kind == "length":
-                lengths[source][int(key)] = n
-        self.limits: dict[str | None, set[int]] = {}
-        for source, h in lengths.items():
-            total = sum(h.values())
-            self.limits[source] = {x for x, n in h.items() if n >= max(6, total / 50) and n > 6 * (sum(h.get(x + d, 0) for d in range(-20, 21)) - n + 1) / 40 and x >= 100}
-
-    def unknown_prefix(self, token: str) -> bool:
-        """Whether a word is rare and a proper prefix of a far more frequent one."""
-        w = token.lower()
-        beyond = self.best.get(w, 0)
-        return beyond >= 20 and self.words.get(w, 0) * 50 < beyond
-
-    def stop_goes_on(self, text: str) -> bool:
-        """Whether the final full stop stands after a token whose stops hardly ever end a sentence."""
-        m = re.search(r"((?:[^\W\d_]+ )?v?\d[\d.]*|[^\W\d_]+)\.$", text)
-        if not m:
-            return False
-        key = re.sub(r"\d[\d.]*", "0", m[1]).lower()
-        return self.goes_on[key] >= LEAST and self.goes_on[key] > 20 * self.ends[key]
-
-
-def _open(p: str) -> bool:
-    """Whether a quotation or bracket of the paragraph is left open."""
-    german = "„" in p
-    if max(map(p.rfind, "「『（(《«" + ("„" if german else "“"))) > max(map(p.rfind, "」』）)》»" + ("“" if german else "”"))):
-        return True
-    return p.count('"') % 2 == 1
 
-
-def is_cut(text: str | None, source: str | None, ev: Evidence) -> str | None:
-    """How the text was cut, or None: marked, code, transfer, limit, word, list or sentence."""
-    if not text or not text.strip():
-        return None
+def end_of(text: str) -> tuple[str, str, str, str | None, str, bool]:
+    """(kind, token, class, line, state, open) of a text's end: ``line`` is its last paragraph if that is one line, ``state``
+    is ``code`` in an open code block (kind ``c``; ``b`` after a closed one), ``transfer`` after a broken code point, ``marked`` if a sign was taken off, else ``end``."""
     t = text.rstrip()
-    p = last_paragraph(t)
-    last = t[t.rfind("\n") + 1 :].strip()
-    own = "\n" not in p
-    s = shape(last)
-    if len(_FENCE.findall(t)) % 2:
-        return "code"
-    if own and (s in ev.closing or _CLOSING.fullmatch(last.strip("（）()"))) and not _LIST.match(last):
-        return None
+    parts, inside = _parts(t)
+    if inside:
+        return "c", "", "", None, "code", False
+    state = "end"
     if t.endswith("�"):
-        return "transfer"
-    if _CUT.search(t):
-        return "marked"
-    if _FENCE.match(last):
-        return None
-    at_limit = len(text) in ev.limits.get(source, ())
-    words = _WORD.findall(last)
-    final = words[-1] if words and last.endswith(words[-1]) else ""
-    if _LIST.match(last) and not _END.search(last):
-        entry = _LIST.sub("", last, count=1)
-        others = [len(_LIST.sub("", x, count=1).split()) for x in p.split("\n")[:-1] if _LIST.match(x)]
-        usual = Counter(others).most_common(1)[0][0] if others else 2 if re.search("[A-Za-z]", entry) else 1
-        if at_limit or not entry or entry[-1] in "_-" or len(entry.split()) < usual or final and not entry.split()[-1] == final and ev.unknown_prefix(final):
-            return "list"
-        return None
-    core = p.rstrip(_CLOSERS)
-    if not _END.search(core):
-        return "limit" if at_limit else "word" if final and ev.unknown_prefix(final) else "sentence"
-    if _open(p):
-        return "sentence"
-    if core.endswith(".") and ev.stop_goes_on(core):
-        return "sentence"
-    return None
-
-
-def evidence(df: DataFrame, text_col: str, source_col: str) -> Evidence:
-    """The evidence of a corpus; only what is frequent goes to the driver (see above)."""
-    stats = statistics(df, text_col, source_col).persist()
-    total = {r.kind: r.n for r in stats.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    least = F.lit(LEAST)
-    for kind, n in total.items():
-        part = RARE_LENGTH if kind == "length" else RARE
-        if kind not in ("all", "last"):
-            least = F.when(F.col("kind") == kind, F.lit(max(2 if kind in ("length", "ends", "goes on") else LEAST, n // part))).otherwise(least)
-    rows = [tuple(r) for r in stats.where((F.col("n") >= least) & ~F.col("kind").isin("all", "last")).select("kind", "source", "key", "n").collect()]
-    rows += [("closing", None, k, 0) for k in closing_lines(stats.where("kind = 'last'").select("source", "key", "digest"))]
-    stats.unpersist()
-    return Evidence(rows)
-
-
-def judged(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(id, source, cut): every text with how it was cut, null for a whole one."""
-    told = df.sparkSession.sparkContext.broadcast(evidence(df, text_col, source_col))
+        state = "transfer"
+    p = last_paragraph(t)
+    last = t[t.rfind("\n") + 1 :]
+    if not parts[-1].strip():  # a closed code block is a whole end
+        return "b", "", "", None, state, False
+    m = _ENTRY.fullmatch(last)
+    kind = "p" if not m else "l" if m[1] else "h"
+    line = _plain(last.strip()) if "\n" not in p and kind == "p" else None
+    while kind == "p" and (sign := _MARKED.search(last)) and sign.start():
+        last, state = last[: sign.start()], "marked"
+    token = last_token(_plain(m[2] or "" if m else last).rstrip())
+    return kind, token, token_class(token), line, state, left_open(p) if kind == "p" else False
+
+
+def ends(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """One row per text that is not blank with what its end shows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ev = told.value
+        kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), *[pa.string()] * 5, pa.bool_())
         for batch in batches:
-            cut = [is_cut(t, s, ev) for t, s in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cut, pa.string())], names=["id", "source", "cut"])
+            rows = []
+            for i, source, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if text and text.strip():
+                    rows.append((i, source, len(text), xxhash.xxh64_intdigest(text.strip().encode("utf-8", "surrogatepass")) - (1 << 63), *end_of(text)))
+            cols = list(zip(*rows)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in _ENDS.split(", ")])
+
+    return df.select(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(run, _ENDS)
+
+
+def closing_lines(of: DataFrame) -> DataFrame:
+    """(line) of the closing lines among the ends of the different texts, see above."""
+    last = of.where(F.col("line").isNotNull()).select("source", "line", "digest").distinct()
+    texts = of.select("source", "digest").distinct().groupBy(F.col("source").alias("of")).agg(F.count("*").alias("texts"))
+    own = last.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    own = own.join(maybe_broadcast(texts), F.col("source").eqNullSafe(F.col("of"))).where(F.col("n") * SHARE >= F.col("texts")).select("line").distinct()
+    # a text that several sources have is one text of all
+    by_line = stage(last.select("line", "digest").distinct().groupBy("line").agg(F.count("*").alias("n")), "lines")
+    total = of.select("digest").distinct().count()
+    found = stage(by_line.where(F.col("n") >= LEAST).join(own.withColumn("own", F.lit(True)), "line", "left").where(F.col("own") | (F.col("n") * SHARE >= total)).select("line", "n"), "closing")
+    lengths = sorted(r[0] for r in found.select(F.length("line")).distinct().collect())
+    if not lengths:
+        return found.select("line")
+    starts = F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda x: x < F.length("line")), lambda x: F.substring("line", F.lit(1), x))
+    longer = by_line.select("n", F.explode(starts).alias("line")).join(found.select("line"), "line", "left_semi").groupBy("line").agg(F.sum("n").alias("beyond"))
+    return found.join(longer, "line", "left").where(F.col("n") * 2 >= F.coalesce("beyond", F.lit(0))).select("line")
+
+
+def _log(a: Column, b: Column) -> Column:
+    return F.log((a + SMOOTH) / (b + SMOOTH))
+
 
+def judged(df: DataFrame, id_col: str, text_col: str, source_col: str, use: tuple[str, ...] = ("trie", "length", "closing", "open")) -> DataFrame:
+    """(id, source, cut, score): every text with how it was cut, null for a whole one. ``use`` names the evidence to take in."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, source string, cut string")
+    stats = stage(statistics(rows, "text"), "tokens")
+    of = stage(ends(rows, "id", "text", "source"), "ends")
+    tokens = stats.where("kind <> 'o'")
+    classes = tokens.groupBy("kind", "class").agg(F.sum("n").alias("class_n"), F.sum("k").alias("class_k"))
+    whole = tokens.groupBy("kind").agg(F.sum(F.length("token") * F.col("n")).alias("all_n"), F.sum("k").alias("all_k"))
+    # a class is left by a cut at any character of its tokens that ends in it: at letters its tokens bare, at marks with them
+    letters = tokens.select("kind", F.regexp_extract("token", r"^_?[\p{L}\p{M}\p{N}_]+", 0).alias("head"), "n")
+    bare = letters.select("kind", F.when(F.col("head") == "", "").when(F.col("head").rlike("^_?0"), "0").when(F.col("head").rlike(f"^[{_UNSPACED}]"), "c").otherwise("a").alias("class"), (F.length("head") * F.col("n")).alias("n"))
+    places = bare.groupBy("kind", "class").agg(F.sum("n").alias("places"))
+    classes = classes.join(places, ["kind", "class"], "left").join(whole, "kind")
+    cut_n = F.coalesce("places", "class_n")
+    classes = classes.select("kind", "class", "class_n", "class_k", (F.log((cut_n + SMOOTH) / F.col("all_n")) - F.log((F.col("class_k") + SMOOTH) / (F.col("all_k") + SMOOTH))).alias("by_class"))
+    wanted = of.select("kind", "token").distinct()
+    # the trie's nodes that ends ask for: the words beyond each prefix
+    nodes = tokens.select("kind", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.substring("token", F.lit(1), i))).alias("token"))
+    nodes = nodes.where("token <> ''").join(maybe_broadcast(wanted), ["kind", "token"], "left_semi").groupBy("kind", "token").agg(F.sum("n").alias("node"))
+    known = wanted.join(nodes, ["kind", "token"], "left").join(tokens.select("kind", "token", F.col("k").alias("ends")), ["kind", "token"], "left")
+    y = of.join(maybe_broadcast(known), ["kind", "token"]).join(F.broadcast(classes), ["kind", "class"], "left")  # a class is a letter and two marks
+    expected = F.coalesce("node", F.lit(0)) * F.col("class_k") / F.col("class_n")
+    by_token = _log(F.coalesce(expected, F.lit(0.0)), F.coalesce("ends", F.lit(0)))
+    score = F.lit(PRIOR) + F.coalesce("by_class", F.lit(0.0))
+    if "trie" in use:
+        score = score + by_token
+    if "length" in use:
+        # every text adds to the lengths within 20 of its own, so no window holds a source
+        sizes = of.select("source", "length", "digest").distinct().groupBy("source", "length").agg(F.count("*").alias("same"))
+        around = sizes.select("source", F.explode(F.sequence(F.col("length") - 20, F.col("length") + 20)).alias("length"), "same").groupBy("source", "length").agg(F.sum("same").alias("near"))
+        piled = sizes.join(around, ["source", "length"]).select(F.col("source").alias("of_source"), F.col("length").alias("of_length"), F.least(F.lit(MOST_LENGTH), F.greatest(F.lit(0.0), F.log((F.col("same") + 1) / ((F.col("near") - F.col("same")) / 40 + 1)))).alias("by_length"))
+        y = y.join(maybe_broadcast(piled.where("by_length > 0")), F.col("source").eqNullSafe(F.col("of_source")) & (F.col("length") == F.col("of_length")), "left")
+        score = score + F.coalesce("by_length", F.lit(0.0))
+    if "open" in use:
+        o = stats.where("kind = 'o'").groupBy().agg(*[F.sum(F.when(F.col("token") == w, F.col(c))).alias(f"{w}_{c}") for w in ("whole", "cut") for c in ("n", "k")])
+        y = y.crossJoin(F.broadcast(o))  # one row
+        rate = lambda w: (F.coalesce(f"{w}_k", F.lit(0)) + SMOOTH) / (F.coalesce(f"{w}_n", F.lit(0)) + 2 * SMOOTH)
+        score = score + F.when(F.col("open"), F.log(rate("cut") / rate("whole"))).otherwise(F.log((1 - rate("cut")) / (1 - rate("whole"))))
+    if "closing" in use:
+        closing = closing_lines(of)
+        y = y.join(maybe_broadcast(closing.withColumn("closes", F.lit(True))), "line", "left")
+        score = F.when(F.col("closes"), F.lit(-9.0)).otherwise(score)
+    y = y.withColumn("score", F.when(F.col("kind") == "b", F.lit(-9.0)).otherwise(score))
+    how = F.when(F.col("kind") == "l", "list").when(F.col("state") == "marked", "marked").when(F.col("open"), "open").when(F.coalesce("by_length", F.lit(0.0)) >= MOST_LENGTH, "limit") if "length" in use else F.when(F.col("kind") == "l", "list")
+    how = how.when((F.coalesce("node", F.lit(0)) > 0) & (F.coalesce("ends", F.lit(0)) == 0), "word").otherwise("sentence")
+    return y.select("id", "source", F.when(F.col("state").isin("code", "transfer"), F.col("state")).when(F.col("score") > 0, how).alias("cut"), "score")
 
 
 def rates(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """Per source: texts, truncated ones and their share."""
-    x = judged(df, id_col, text_col, source_col).groupBy("source").agg(F.count("*").alias("texts"), F.count("cut").alias("truncated"))
+    """Per source: texts (blank and null ones too), truncated ones and their share."""
+    texts = df.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.count("*").alias("texts"))
+    cut = judged(df, id_col, text_col, source_col).groupBy(F.col("source").alias("of")).agg(F.count("cut").alias("truncated"))
+    x = texts.join(cut, F.col("source").eqNullSafe(F.col("of")), "left").select("source", "texts", F.coalesce("truncated", F.lit(0)).alias("truncated"))
     return x.withColumn("truncated_rate", F.round(F.col("truncated") / F.col("texts"), 6))

@@ -333,56 +333,76 @@ def test_leaks_are_whole(spark):
 # 9
 
 
-def test_cut_texts(spark):
+def cut_corpus():
+    """Whole texts with headings, lists and closing lines, and planted cases (id -> (text, is cut))."""
     rnd = random.Random(1)
-    nouns = ["window", "lattice", "router", "budget"]
-    whole = [(i, " ".join(f"The {rnd.choice(nouns)} holds the {rnd.choice(nouns)} of run {rnd.randint(10, 99)}." for _ in range(rnd.randint(3, 9))), "s") for i in range(400)]
-    limit = [(i, (whole[i % 400][1] * 9)[:500].rstrip(".") + "", "limited") for i in range(1000, 1040)]
-    body = whole[0][1]
+    nouns = ["window", "lattice", "router", "budget", "ledger"]
+    said = lambda: f"The {rnd.choice(nouns)} holds the {rnd.choice(nouns)} of run {rnd.randint(10, 99)}, e.g. the {rnd.choice(nouns)}."
+    entries = lambda: "\n".join(f"- {rnd.choice(['drop', 'merge'])} {rnd.choice(nouns)}" for _ in range(4))
+    whole = []
+    for i in range(600):
+        parts = [f"About the {rnd.choice(nouns)}", " ".join(said() for _ in range(rnd.randint(2, 5))), f'It said "{said()[:-1]}!" and so on.', entries(), said(), "一二三四。木气降于南，火在山则重。"]
+        parts += [["Thanks in advance"], ["Status: OK"], ["待续……"], ["```py\nx = 1\n```"], [said()], [entries()]][i % 6]
+        whole.append((i, "\n\n".join(parts), "s"))
+    body = "\n\n".join(whole[0][1].split("\n\n")[:5])
     cases = {
         2000: (body + " The win", True), 2001: (body + "\n\n```py\nx = 1\n", True), 2002: (body + "\n\n```py\nx = 1\n```", False), 2003: (body + " The bud[…]", True),
         2004: (body + "\n\n- drop window\n- merge router", False), 2005: (body + "\n\n- drop window\n- merge", True), 2006: (body + "\n\nThanks in advance", False), 2007: (body + "\n\nStatus: OK", False),
-        2008: (body + ' It said "stop the budget.', True), 2009: (body + " See e", True), 2010: ("", False), 2011: (None, False), 2012: ("  \n", False), 2013: ("木气降于南，火在山则重。", False), 2014: ("木气降于南，火在山则", True), 2015: (body + "\n\n待续……", False),
-        2016: (body * 3000, False), 2017: (body + " wait…", True), 2018: ("木�", True), 2019: (body + "\n\n- drop big_window\n- merge big_lat", True),
+        2008: (body + ' It said "the window holds.', True), 2009: (body + " The ledger, e.", True), 2010: ("", False), 2011: (None, False), 2012: ("  \n", False), 2013: ("木气降于南，火在山则重。", False), 2014: ("木气降于南，火在山则", True), 2015: (body + "\n\n待续……", False),
+        2016: ("The window holds the ledger. " * 5_000, False), 2017: (body + " The window…", True), 2018: ("木�", True), 2019: (body + "\n\n- drop window\n- merge rout", True), 2020: (body + " The router", True), 2021: (body + " The router holds the window of run 55,", True), 2022: (body + " The window [truncated]", True),
     }
-    rows = whole + limit + [(i, t, None) for i, (t, _) in cases.items()]
+    limited = [(3000 + i, ("About it\n\n" + "- merge window\n" * 3 + f"- merge {'abcdefghijklmnopqrst'[i]}row{i:02d}" + "\n- drop router" * 9)[:69], "limited") for i in range(20)]
+    return whole, cases, limited
+
+
+def test_cut_texts(spark):
+    whole, cases, limited = cut_corpus()
+    rows = whole + limited + [(i, t, None) for i, (t, _) in cases.items()]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, source string, cut string")
     out = {r.id: r.cut for r in truncated.judged(df, "doc_id", "text", "source").collect()}
-    assert {i: out[i] is not None for i in cases} == {i: w for i, (_, w) in cases.items()}
-    assert not any(out[i] for i, *_ in whole)
+    assert {i: out.get(i) is not None for i in cases} == {i: w for i, (_, w) in cases.items()}
+    assert not [i for i, *_ in whole if out[i]]
+    assert all(out[i] for i, *_ in limited)
     assert truncated.judged(df.limit(0), "doc_id", "text", "source").count() == 0
-    assert truncated.rates(df, "doc_id", "text", "source").where("source = 's'").first().truncated == 0
+    r = {x.source: (x.texts, x.truncated) for x in truncated.rates(df, "doc_id", "text", "source").collect()}
+    assert r["s"] == (600, 0) and r["limited"] == (20, 20) and r[None][0] == len(cases)
+
+
+@pytest.mark.parametrize("without,lost,wrong", [("trie", {2005, 2009, 2019}, set()), ("length", {3000}, set()), ("closing", set(), {2006, 2007}), ("open", {2008}, set())])
+def test_each_evidence_of_cuts_decides(spark, without, lost, wrong):
+    whole, cases, limited = cut_corpus()
+    df = spark.createDataFrame(whole + limited + [(i, t, None) for i, (t, _) in cases.items()], "doc_id long, text string, source string")
+    use = tuple(x for x in ("trie", "length", "closing", "open") if x != without)
+    found = {r.id for r in truncated.judged(df, "doc_id", "text", "source", use).where("cut is not null").collect()}
+    assert not lost & found and wrong <= found
 
 
 def test_copies_of_a_cut_text_make_no_closing_line(spark):
-    body = "The gate holds the router of run 12.\n\n"
+    body = "About it\n\nThe gate holds the router of run 12.\n\nThe gate report names window 5.\n\n"
     rows = [(i, body.replace("12", str(100 + i)) + f"The gate report names window {'abcdefghij'[i % 10]}{i % 7}.", "s") for i in range(60)]
     rows += [(100 + i, body + "The gate repo", "s") for i in range(40)]  # copies: their end is no closing line
-    rows += [(200 + i, f"Stage {i} holds.\n\nThe gate report na", "t") for i in range(4)]  # often, but longer lines speak against it
-    rows += [(300 + i, f"Stage {i} ends.\n\nSigned off by karo", "s") for i in range(5)]  # a closing line that the corpus shows
+    rows += [(200 + i, f"About it\n\nStage {i} holds.\n\nThe gate report na", "t") for i in range(4)]  # often, but longer lines speak against it
+    rows += [(300 + i, f"About it\n\nStage {i} ends.\n\nSigned off by karo", "s") for i in range(5)]  # a closing line that the corpus shows
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = {r.id: r.cut for r in truncated.judged(df, "doc_id", "text", "source").collect()}
     assert {i for i, c in out.items() if c} == {*range(100, 140), *range(200, 204)}
 
 
 def test_a_closing_line_needs_a_share_of_its_source(spark):
-    rows = [(i, f"Stage {i} of all holds.", "s") for i in range(4000)] + [(10_000 + i, f"Stage {i} ends.\n\nWe move the", "s") for i in range(4)]
+    rows = [(i, f"About it\n\nStage {i} of all holds.\n\nIt ends.", "s") for i in range(4000)] + [(10_000 + i, f"Stage {i} ends.\n\nWe move the", "s") for i in range(4)]
     rows += [(20_000 + i, f"Stage {i} ends.\n\nSigned off by karo", None) for i in range(4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert {r.id for r in truncated.judged(df, "doc_id", "text", "source").where("cut is not null").collect()} == set(range(10_000, 10_004))
 
 
 def test_long_last_paragraphs_are_read_whole():
-    ev = truncated.Evidence([])
     long = "The gate holds the router of this run. " * 200
     assert truncated.last_paragraph("A start.\n \t\n" + long + "\nAn end.\n") == long + "\nAn end."
     assert truncated.last_paragraph("A start.\n\n\nAn end.") == "An end." and truncated.last_paragraph("\nOne\ntwo.") == "\nOne\ntwo."
-    assert truncated.is_cut("A start.\n\nIt said “stop. " + long, None, ev) == "sentence"
-    assert truncated.is_cut('A start.\n\nIt said "stop. ' + long, None, ev) == "sentence"
-    assert truncated.is_cut('A start.\n\nIt said "stop. ' + long + 'Go on." It holds.', None, ev) is None
-    entries = "- drop the gate\n" * 3 + "- merge it\n" * 500
-    assert truncated.is_cut(entries * 2 + "- drop the gate\n" * 600 + "- merge it\n" * 250 + "- merge it", None, ev) is None
-    assert truncated.is_cut("- drop the gate\n" * 600 + "- merge it\n" * 400 + "- merge it", None, ev) == "list"
+    assert truncated.end_of("A start.\n\nIt said “stop. " + long)[-1] and truncated.end_of('A start.\n\nIt said "stop. ' + long)[-1]
+    assert not truncated.end_of('A start.\n\nIt said "stop. ' + long + 'Go on." It holds.')[-1]
+    assert truncated.end_of("x\n\n" + long + "\n" + long + "hold")[:3] == ("p", "hold", "a")
+    assert truncated.end_of("a " * 3000 + "\n- b_win 34")[:3] == ("l", "0", "0")
 
 
 def test_javascript_of_any_depth():
