@@ -160,33 +160,73 @@ def test_files_of_a_table(spark):
 # 5
 
 
+def whole_pairs(n=600):
+    rnd = random.Random(6)
+    what, how, do = ["次序", "章节", "枢纽", "日志", "边界", "缓存", "样本"], ["平稳", "急躁", "清楚", "迟缓", "粗疏"], ["核查", "归纳", "延后", "合并", "观察"]
+    said = [
+        lambda: f"此处的{rnd.choice(what)}偏于{rnd.choice(how)}，宜先{rnd.choice(do)}{rnd.choice(what)}。", lambda: f"若{rnd.choice(what)}过于{rnd.choice(how)}，则{rnd.choice(what)}难以{rnd.choice(do)}！", lambda: f"他问：“{rnd.choice(what)}可以{rnd.choice(do)}吗？不必{rnd.choice(do)}。”",
+        lambda: f"若无法{rnd.choice(do)}{rnd.choice(what)}，不妨等待{rnd.choice(what)}{rnd.choice(how)}。", lambda: f"原文说“抱歉不能从命”，其实是劝人{rnd.choice(do)}{rnd.choice(what)}。", lambda: f"术语 gate mirror 与 x_{rnd.randint(1, 99)} 在此指{rnd.choice(what)}。（另见{rnd.choice(what)}一条）",
+        lambda: f"與其檢驗{rnd.choice(what)}，不如記錄，使{rnd.choice(what)}{rnd.choice(how)}。",
+    ]
+    asked = [lambda: f"木气降于{rnd.choice('东南西北')}，火在{rnd.choice('山川云雨')}则{rnd.choice('重轻薄厚')}。" * rnd.randint(1, 3), lambda: f"The {rnd.choice(['gate', 'router'])} holds run {rnd.randint(1, 99)}. It broke again.", lambda: f"Der {rnd.randint(2, 9)}. Zweig hält den {rnd.choice(['Rahmen', 'Puffer'])}."]
+    return [(i, rnd.choice(asked)(), "".join(rnd.choice(said)() for _ in range(rnd.randint(1, 4)))) for i in range(n)]
+
+
+BROKEN = {
+    "empty": ["", "  ", "N/A", "（空）", "……", "​", "null", "TODO"],
+    "refusal": ["抱歉，我无法回答。", "I must decline to interpret this text.", "不好意思，目前没有办法对该内容作出概括，还望理解！", "Es tut mir leid, das kann ich nicht beantworten."],
+    "copy": ["木气降于南，火在山则重。水归于泉，土静而明。", "译文如下：木气降于南，火在山则重。水归于泉，土静而明。", "木气降于南，火在则重。水归于泉，土静而明。", "木气降于南火在山则重水归于泉土静而明", "木气降于南，火在山则重。水归于泉，土静而明。" * 2],
+    "language": ["Le cadre est prêt, dit-elle.", "이 창문은 단계을 먼저 살핍니다.", "まず分岐を記す、次に引用を調べるほかない！", "Часть шагов, заняла 39 с."],
+    "truncated": ["此处的次序偏于平稳，宜先…[截断]", "若章节过于急", "他问：“次序可以观察", "此处的枢纽偏于清楚，"],
+    None: ["原文说“抱歉不能从命”，其实是劝人合并枢纽。", "術語 gate mirror 与 x_7 在此指日志。", "此处的边界偏于粗疏，宜先核查样本。（另见边界一条）", "與其檢驗边界，不如記錄，使样本清楚。", None],
+}
+
+
 def test_broken_pairs(spark):
-    whole = [(i, f"水在木则清，第{i}条。", f"此处的次序{i}偏于平稳，宜先核查章节。") for i in range(100, 400)]
-    cases = {
-        "empty": ["", "  ", "N/A", "（空）", "……", "​"],
-        "refusal": ["抱歉，我无法回答。", "I must decline to interpret this text."],
-        "copy": ["木气降于南，火在山则重。", "译文如下：木气降于南，火在山则重。", "木气降于南，火在则重。"],
-        "language": ["Le cadre est prêt, dit-elle.", "이 창문은 단계을 먼저 살핍니다."],
-        "truncated": ["先记录边界，再扶持分支，最后看…[截断]", "版本v2.2起，交游改为", "他问：“方位可以观察吗？"],
-        None: ["原文说“抱歉不能从命”，其实是劝人守住枢纽。", "术语 gate mirror 与 x_y 在此指日志。", "此段如此……\n以上。", "宜核查。（另见一条）", "與其檢驗，不如記錄。", None],
-    }
+    whole, prompt = whole_pairs(), "木气降于南，火在山则重。水归于泉，土静而明。"
     rows, want, n = list(whole), {}, 1000
-    for defect, texts in cases.items():
+    for defect, texts in BROKEN.items():
         for t in texts:
-            rows.append((n, "木气降于南，火在山则重。", t))
+            rows.append((n, prompt, t))
             if defect:
                 want[n] = defect
             n += 1
-    rows += [(n, "", ""), (n + 1, None, ""), rows[300]]
+    rows += [(n, "", ""), (n + 1, None, ""), rows[600]]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "point_id long, original_text string, summary_zh string, prompt string")
     out = pairs.broken_pairs(df, "point_id", "original_text", "summary_zh").collect()
-    assert {r.id: r.defect for r in out} == want and len(out) == len(want)
+    found = {r.id: r.defect for r in out}
+    assert len(out) == len(found) and not [i for i in found if i < 600]
+    wrong = {rows[600 + i - 1000][2]: (found.get(i), want.get(i)) for i in range(1000, n) if found.get(i) != want.get(i)}
+    assert len(wrong) <= 4, wrong  # a small table; see README for the recall on large ones
     assert pairs.broken_pairs(df.limit(0), "point_id", "original_text", "summary_zh").count() == 0
 
 
-def test_likeness_is_whole():
-    assert pairs.likeness("abc" * 5000, "x" + "abc" * 5000) > 0.99
-    assert pairs.likeness("", "a") == 0
+def test_the_classifier_and_its_thresholds_decide():
+    whole, prompt = [(p, r) for _, p, r in whole_pairs()], "木气降于南，火在山则重。水归于泉，土静而明。"
+    w, limits = pairs.train(whole)
+    broken = [(prompt, t, d) for d, ts in BROKEN.items() if d for t in ts]
+    right = lambda w, limits: sum(pairs.judge([(p, t)], w, limits)[0] == d for p, t, d in broken)
+    passed = lambda w, limits: sum(x is not None for x in pairs.judge(whole, w, limits))
+    assert right(w, limits) >= len(broken) - 4 and passed(w, limits) == 0
+    assert passed(w, np.full(5, -np.inf)) == len(whole)  # no thresholds
+    assert right(np.zeros_like(w), limits) < len(broken) / 3  # no weights
+    assert right(*pairs.train([])) == 0 and pairs.judge([], w, limits) == []
+
+
+def test_broken_pairs_among_the_examples_are_left_out():
+    whole = [(p, r) for _, p, r in whole_pairs()]
+    noise = [(p, "抱歉，我不能回答这个问题，请换一个话题。" if k % 2 else r[: len(r) // 2 - 1] + "，") for k, (p, r) in enumerate(whole[:40])]
+    noise += [(p, "此处的" + "次章枢日边缓样"[k % 7] + "，") for k, (p, _) in enumerate(whole[40:80])]
+    w, limits = pairs.train(whole[80:] + noise)
+    found = pairs.judge(noise, w, limits)
+    assert sum(x == ("refusal" if k % 2 and k < 40 else "truncated") for k, x in enumerate(found)) >= 70
+    assert sum(x is not None for x in pairs.judge(whole[80:], w, limits)) <= 1
+
+
+def test_long_and_odd_pairs():
+    w, limits = pairs.train([(p, r) for _, p, r in whole_pairs(200)])
+    out = pairs.judge([("木气降于南，火在山则重。水归于泉。" * 9_000, "译文：" + "木气降于南，火在山则重。水归于泉。" * 9_000), ("a", "\x00"), ("b", "。"), ("?", "此处的次序偏于平稳，宜先核查章节。")], w, limits)
+    assert out[0] == "copy" and out[1] == out[2] == "empty" and out[3] is None
 
 
 # 6
