@@ -1,30 +1,39 @@
 """Problem 1: sentence boundaries across languages and scripts.
 
-Candidates are runs of end marks with the quotes and brackets that close after them, blank lines and, in text without
-any stops, line breaks, spaces or the final particles of classical prose. Structure settles most of them: marks inside
-a quotation or bracket, file names and numbers, what follows a closed quotation. A full stop before a space is
-classified by a maximum-entropy model over the tokens around it, their case, length, digits and script. The model is
-trained on the table's own reliable boundaries: stops at the ends of values and paragraphs against stops before a
-lower-case word, a comma or a digit and against known abbreviations. It is fitted on the stops of at most ``SAMPLE``
-values, those least by a hash of their id; every value is segmented, whole.
-
-Null and empty values, and those of white space only, have no sentences. Rows delivered again count once.
+Candidates are runs of end marks with the quotes and brackets that close after them (a lone full stop only before white
+space, a closing sign or the end) and, in text of unspaced scripts without any stops, line breaks, spaces or the final
+particles of classical prose. Each is classified by a maximum-entropy model over the neighbouring tokens, their case,
+length, digits and script, the kind of mark, whether a quotation or bracket holds or closes it, what follows, and how
+often stops after this token stand at the end of a paragraph. Blank lines and the end of a value end sentences by
+definition.
+
+The model is trained on the table's own reliable boundaries. Ends are the marks that end values and paragraphs; their
+right side, which says nothing there, is replaced by what may follow a sentence in that script. No ends are marks before
+a lower-case word, a digit, a comma, a dash or a reporting clause, and those inside a quotation or bracket; stops among
+them are learnt a second time with an upper-case word on the right, so that the token before has to tell. A usual
+abbreviation, a single letter and a number after a certain word are features like all others. It is fitted on the values of at
+most ``SAMPLE`` rows, those least by a hash of their id; every value is segmented, whole, in time linear in its length.
+
+Null and empty values, and those of white space only, have no sentences. Rows delivered again count once; extra columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 6000
-DIMS = 1 << 14
-# fixed values: usual abbreviations, in lower case, without their last stop
+SAMPLE = 12000
+DIMS, STEPS = 1 << 15, 500
+# usual abbreviations, in lower case, without their last stop: one feature of the model
 ABBREVIATIONS = frozenset(
     "dr dra prof mr mrs ms sr sra srta st jr mt rev gen col capt lt hon messrs mme mlle "
     "e.g i.e cf vs approx etc. vol fig figs sec no nos pp p ch eq ed eds al dept inc ltd co corp est ca viz resp "
@@ -34,8 +43,6 @@ ABBREVIATIONS = frozenset(
     "डॉ श्री पं प्रो सं "
     "jan feb mar apr jun jul aug sep sept oct nov dec".split()
 )
-_UNITS = frozenset(("s", "h", "m", "g", "с", "ч", "м", "г", "k"))
-_ORDINAL_BEFORE = frozenset("der die das den dem des am im vom zum zur beim ins ans jeder jede jedes dieser ein eine einem einen einer eines".split())
 OPENING, CLOSING = "“‘«「『(（[【{《〈„‹", "”’»」』)）]】}》〉“›"
 _PAIRS = {"“": "”", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】", "《": "》", "〈": "〉", "„": "“", "‹": "›", '"': '"', "{": "}"}
 _QUOTE_OR_BRACKET = re.compile(r"[“”«»「」『』()（）\[\]【】《》〈〉„‹›\"{}]")
@@ -82,174 +89,208 @@ def _token_before(text: str, i: int) -> str:
     return text[j:i]
 
 
-def stop_features(text: str, i: int, end: int) -> list[str]:
-    """Features of the stop at ``i`` whose run of marks and closing signs ends at ``end``."""
-    before = _token_before(text, i)
-    rest = text[end:].lstrip()[:40]
-    after = re.match(r"[^\s]*", rest)[0]
-    head = text[: i - len(before)].rstrip()
-    prev = _token_before(head, len(head)).lower()
-    low = before.lower()
-    c = after[:1]
-    case = "up" if c.isupper() else "low" if c.islower() else "dig" if c.isdigit() else "open" if c in OPENING or c in '"¿¡' else "none" if not c else "other"
-    digits = "num" if re.fullmatch(r"[\d.,]+", before) else "dig" if re.search(r"\d", before) else "alpha"
-    size = str(min(len(before), 5))
-    inner = "dot" if "." in before else "id" if "_" in before else "plain"
-    script = "lat" if re.search(r"[A-Za-z]", before) else "cyr" if re.search(r"[а-яА-Я]", before) else "oth"
-    shape = "A" if before[:1].isupper() else "a"
-    out = [f"w={low}" if digits == "alpha" else "w=#", f"case={case}", f"dig={digits}", f"len={size}{shape}", f"in={inner}", f"sc={script}",
-           f"prev={prev}" if not re.search(r"\d", prev) else "prev=#", f"{digits}|{case}", f"{size}{shape}|{case}", f"{inner}|{case}", f"{digits}|{prev}"]
-    return out
+class Candidate(NamedTuple):
+    """A possible end: its place, its features, and what the text around says for sure (1, 0 or None)."""
 
+    end: int
+    left: tuple[str, ...]
+    right: tuple[str, ...]  # what follows: one entry, or all that may follow where nothing does
+    key: str | None  # the token before a stop, or the word before a number
+    sure: int | None
 
-def _index(features: list[str]) -> list[int]:
-    return [zlib.crc32(f.encode()) % DIMS for f in features]
 
+def _token_at(text: str, i: int) -> tuple[str, str]:
+    """The token before ``i`` and the one before it."""
+    own = _token_before(text, i)
+    j = i - len(own)
+    while j > 0 and text[j - 1].isspace():
+        j -= 1
+    return own, _token_before(text, j)
 
-def reliable(text: str) -> Iterator[tuple[list[int], int]]:
-    """Training stops of one value with their class: ends of values and paragraphs are boundaries; stops before a
-    lower-case word, a comma or a digit, and those of known abbreviations, are none."""
-    for m in re.finditer(r"\.(?=[\"”»“)]*(\s|$|,))", text):
-        i, end = m.start(), m.end()
-        while end < len(text) and text[end] in "\"”»“)":
-            end += 1
-        rest = text[end:]
-        after = rest.lstrip()[:1]
-        word = _token_before(text, i).lower()
-        if not word:
-            continue
-        if word in ABBREVIATIONS or after.islower() or after.isdigit() or rest[:1] == ",":
-            yield _index(stop_features(text, i, end)), 0
-        elif not after or _BLANK.match(rest):
-            # the right side is hidden, as it says nothing about boundaries within a paragraph
-            f = stop_features(text, i, end)
-            for case in ("up", "open", "other"):
-                yield _index([x.replace("case=none", f"case={case}").replace("|none", f"|{case}") for x in f]), 1
-        elif after.isupper() and len(word) > 5 and word.isalpha():
-            yield _index(stop_features(text, i, end)), 1
-
-
-def train(texts: list[str], rounds: int = 12, rate: float = 0.3, decay: float = 1e-5) -> np.ndarray:
-    """Weights of the maximum-entropy (logistic) model, fitted by passes of stochastic gradients in a fixed order."""
-    data = [x for t in texts for x in reliable(t)]
-    w = np.zeros(DIMS + 1)
-    w[DIMS] = 0.5
-    order = np.random.default_rng(7)
-    for r in range(rounds if data else 0):
-        step = rate / (1 + r)
-        for k in order.permutation(len(data)):
-            idx, y = data[k]
-            p = 1 / (1 + np.exp(-(w[idx].sum() + w[DIMS])))
-            g = step * (y - p)
-            w[idx] += g
-            w[DIMS] += g * 0.1
-        w[:DIMS] *= 1 - decay
-    return w.astype(np.float32)
-
-
-def _stop_ends(text: str, i: int, end: int, w: np.ndarray) -> bool:
-    """Whether the single full stop at ``i``, followed by white space at ``end``, ends a sentence."""
-    before = _token_before(text, i)
-    low = before.lower()
-    rest = text[end:].lstrip()
-    c = rest[:1]
-    if not before:
-        return True
-    if c.islower():
-        return False
-    number = re.fullmatch(r"[\d.,%]+", before) is not None
-    head = text[: i - len(before)].rstrip()
-    prev = _token_before(head, len(head)).lower()
-    if len(before) == 1 and before.isalpha():
-        if before.islower() and before in _UNITS and re.fullmatch(r"[\d.,]+", prev):
-            return True
-        return False
-    if low in ABBREVIATIONS or low.rstrip(".") in ABBREVIATIONS and "." in low:
-        return False
-    if number and c.isupper() and len(before) <= 2 and prev in _ORDINAL_BEFORE:
-        return False
-    if c.isdigit() and len(before) <= 4 and before.isalpha():
-        return False
-    return float(w[_index(stop_features(text, i, end))].sum() + w[DIMS]) > 0
-
-
-def sentence_ends(text: str, w: np.ndarray) -> list[int]:
-    """Ends of the sentences of a value, in code points."""
-    last = len(text.rstrip())
-    if not last:
-        return []
+
+_SHAPES = ((re.compile(r"[\d.,%]+$"), "num"), (re.compile(r"\W*\w*\d"), "dig"), (re.compile(r"\w(?:\.\w)+$"), "dotted"), (re.compile(r"\w+_"), "id"))
+
+
+def _left(text: str, i: int) -> tuple[tuple[str, ...], str]:
+    """Features of the token before the stop at ``i`` and the key of its statistics."""
+    own, prev = _token_at(text, i)
+    low, prev = own.lower(), prev.lower()
+    shape = next((name for p, name in _SHAPES if p.match(own)), "word")
+    script = "lat" if re.search(r"[A-Za-zÀ-ɏ]", own) else "cyr" if re.search(r"[а-яА-Я]", own) else "num" if shape == "num" else "oth"
+    case = "A" if own[:1].isupper() else "a" if own[:1].islower() else "-"
+    size = str(min(len(own), 6))
+    before = "#" if re.search(r"\d", prev) else prev[-12:]
+    key = f"{before} #" if shape == "num" else f"# {low}" if before == "#" and len(own) == 1 and case == "a" else low
+    listed = low in ABBREVIATIONS or "." in low and low.rstrip(".") in ABBREVIATIONS
+    told = (f"key={key}", f"shape={shape}", f"size={size}{case}", f"script={script}|{size}", f"prev={before}", f"{shape}|{size}", f"{size}{case}|{before == '#'}")
+    return (*told, "listed") if listed else told, key
+
+
+def _follows(text: str, k: int) -> tuple[str, bool]:
+    """What stands after ``k``, white space aside, and whether a paragraph ends there."""
+    n, j = len(text), k
+    while j < n and text[j].isspace():
+        j += 1
+    if j >= n or _BLANK.match(text, k):
+        return "end", True
+    c = text[j]
+    gap = "" if j == k else " "
+    if c in ",，、;；:：":
+        return "comma", False
+    if c in "–—-‐‑‒―·":
+        return "dash", False
+    if _HAN_SAYS.match(text, j):
+        return "says", False
+    kind = "kana" if _KANA.match(c) else "low" if c.islower() else "up" if c.isupper() else "dig" if c.isdigit() else "open" if c in OPENING or c in '"¿¡' else "cjk" if _UNSPACED.match(c) else "letter" if c.isalpha() else "other"
+    return kind + gap, False
+
+
+_NO_END = ("comma", "dash", "says", "low ", "low", "kana", "kana ")
+
+
+def candidates(text: str) -> Iterator[Candidate]:
+    n, last = len(text), len(text.rstrip())
     spans, opened = closed_spans(text)
-    inside = np.zeros(len(text) + 1, bool)
+    opens = {a for a, _ in spans}
+    inside = bytearray(n + 1)
     for a, b in spans:
-        inside[a : b + 1] = True
-    ends: set[int] = {last}
-    for m in _BLANK.finditer(text):
-        ends.add(len(text[: m.start()].rstrip()))
+        inside[a : b + 1] = b"\x01" * (b + 1 - a)
     stops = False
-    n = len(text)
     for m in _MARKS.finditer(text):
         i, j, marks = m.start(), m.end(), m[0]
-        wide = any(c in _WIDE for c in marks)
-        if not wide and marks == "." and j < n and not text[j].isspace() and text[j] not in CLOSING and text[j] not in '"':
+        dot = marks == "."
+        if dot and j < n and not text[j].isspace() and text[j] not in CLOSING and text[j] != '"':
             continue  # within a number, a file name or an abbreviation
         stops = True
+        kind = "dot" if dot else "dots" if not set(marks) & _WIDE else "mark"
+        k, state = j, "out"
         if inside[i]:
-            # only a quotation or bracket that closes right after its own end mark can end a sentence
-            k = j
             while k < n and k not in opened and (text[k] in CLOSING or text[k] == '"'):
                 k += 1
             if k >= n or k not in opened or opened[k] > i:
+                yield Candidate(j, (f"{kind}|in",), ("any",), None, 0)
                 continue
-            if not wide and marks == "." and text[k] in ")]）】":
-                continue
+            o, shut = opened[k], k
             k += 1
-            while k < n and (text[k] in CLOSING and not inside[k]):
+            while k < n and text[k] in CLOSING and not inside[k] and k not in opens:
                 k += 1
             if k < n and _MARKS.match(text, k):
-                continue  # an end mark outside follows and is a candidate of its own
-            follow = text[k:].lstrip()
-            c = follow[:1]
-            if c and (c in ",，、;；:：–—-‐‑‒―·" or c.islower() or _HAN_SAYS.match(follow) or _KANA.match(follow)):
-                continue
-            o = opened[next(x for x in range(k - 1, i, -1) if x in opened)]
-            if text[o] in "(（[【" and o and text[o - 1].isalnum() and text[k : k + 1].isalnum():
-                continue  # a bracket within a word group
-            ends.add(k)
-            continue
-        k = j
-        while k < n and (text[k] in CLOSING or text[k] == '"') and not (k in opened.values()) and (text[k] not in '"“' or inside[k] and k in opened):
-            k += 1
-        if set(marks) <= {"…"} or marks in ("..", "...") or marks.startswith("...") and not wide:
-            c = text[k : k + 1]
-            if c and not c.isspace():
-                continue
-            after = text[k:].lstrip()[:1]
-            if after.islower():
-                continue
-            ends.add(k)
-            continue
-        if wide:
-            ends.add(k)
-            continue
-        if k < n and not text[k].isspace():
-            continue
-        if not text[k:].strip() or _stop_ends(text, i, k, w):
-            ends.add(k)
+                continue  # the end mark outside is a candidate of its own
+            state = "bracket" if text[shut] in ")]）】" else "quote"
+            if state == "bracket" and o and text[o - 1].isalnum() and text[k : k + 1].isalnum():
+                state = "word"  # a bracket within a word group
+        else:
+            while k < n and (text[k] in CLOSING or text[k] == '"') and k not in opens and (text[k] not in '"“' or k in opened):
+                k += 1
+        follow, over = _follows(text, k)
+        left: tuple[str, ...] = (f"{kind}|{state}",)
+        key = None
+        if dot and state != "bracket":
+            told, key = _left(text, i)
+            left += told
+        sure = None
+        if over:
+            # what ends a paragraph shows a boundary, unless a bracket holds it: then the paragraph's end alone does
+            sure = None if state in ("bracket", "word") and kind != "mark" else 1
+        elif state == "out" and kind == "mark":
+            sure = None
+        elif follow in _NO_END or follow.startswith("dig") and dot or kind == "dots" and not follow.endswith(" ") or state == "word":
+            sure = 0
+        if over:
+            cjk = i > 0 and _UNSPACED.match(text[i - 1]) is not None
+            right: tuple[str, ...] = ("cjk", "open", "letter", "up", "cjk ", "open ", "up ") if cjk else ("up ", "open ", "letter ", "other ", "cjk ")
+            if kind == "mark" and state == "out":
+                right += ("low ", "low", "dig ", "dig", "other", "comma", "dash", "kana", "up", "says")
+        else:
+            right = (follow,)
+        yield Candidate(k, left, right, key, sure)
     if not stops and _unspaced(text):
-        cut = False
-        for m in re.finditer(r"\s+", text[:last]):
-            a, b = m.start(), m.end()
-            if "\n" in m[0]:
-                ends.add(a)
-                cut = True
-            elif not (text[a - 1 : a].isdigit() or text[b : b + 1].isdigit() or inside[a]):
-                ends.add(a)
-                cut = True
-        if not cut:
+        parts = [(m.start(), m.end(), "\n" in m[0]) for m in re.finditer(r"\s+", text[:last])]
+        for a, b, broken in parts:
+            number = text[a - 1 : a].isdigit() or text[b : b + 1].isdigit() or bool(inside[a])
+            yield Candidate(a, ("break" if broken else "space",), ("number" if number else "none",), None, 1 if broken or not number else 0)
+        if all(not broken and (text[a - 1 : a].isdigit() or text[b : b + 1].isdigit() or inside[a]) for a, b, broken in parts):
             for m in _PARTICLES.finditer(text):
-                ends.add(m.end())
-    ends.discard(0)
-    return sorted(e for e in ends if text[:e].strip())
+                yield Candidate(m.end(), ("particle",), ("none",), None, 1 if m.end() == last else None)
+
+
+class Model(NamedTuple):
+    weights: np.ndarray
+    ends: dict[str, tuple[int, int]]  # stops after a token: all, and those at the end of a paragraph
+    share: float
+
+
+def _rate(n: int, e: int, share: float) -> int:
+    """How many doublings the stops of a token stay below the usual share at the ends of paragraphs; 0 if they don't."""
+    return max(0, min(6, int(np.log2((n * share + 1) / (e + 0.5)))))
+
+
+_OWN = ("key=", "prev=", "listed")
+
+
+def _names(left: tuple[str, ...], right: str, rate: int | None, known: bool = True) -> list[str]:
+    """The features of a candidate; without those that name its tokens, if they are not ``known``."""
+    if not known:
+        return [x for x in _names(left, right, rate) if not x.startswith(_OWN)]
+    out = [*left, f"{left[0]}|{right}", f"then={right}", "bias"]
+    if rate is not None:
+        out += [f"rarely ends>={k}" for k in range(1, rate + 1)] + [f"{left[2]}|{right}", f"{left[3]}|{right}"]
+    return out
+
+
+def _index(features: list[str]) -> list[int]:
+    return [zlib.crc32(f.encode()) % DIMS for f in features]
+
+
+def train(texts: list[str], steps: int = STEPS, rate: float = 0.3, decay: float = 2e-6) -> Model:
+    """The maximum-entropy (logistic) model, fitted on all reliable candidates by accelerated gradient steps."""
+    found = [c for t in texts for c in candidates(t)]
+    n = Counter(c.key for c in found if c.key is not None)
+    e = Counter(c.key for c in found if c.key is not None and c.sure == 1 and len(c.right) > 1)
+    share = (sum(e.values()) + 1) / (sum(n.values()) + 2)
+    data: Counter = Counter()
+    for c in found:
+        if c.sure is None:
+            continue
+        at_end = c.sure == 1 and len(c.right) > 1
+        told = None if c.key is None else _rate(n[c.key] - 1, e[c.key] - at_end, share)  # without this one
+        for right in c.right if c.sure or c.key is None else (*c.right, "up "):
+            for known in (True, False) if c.key is not None else (True,):  # the model has to do without the names too
+                data[tuple(_index(_names(c.left, right, told, known))), c.sure] += 1 / len(c.right)
+    w = np.zeros(DIMS)
+    if data:
+        f = np.array([i for (x, _), _ in data.items() for i in x])
+        row = np.repeat(np.arange(len(data)), [len(x) for x, _ in data])
+        y, many = np.array([y for _, y in data], float), np.sqrt(np.fromiter(data.values(), float))
+        many /= many.sum()
+        ahead = w
+        for k in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(row, ahead[f], minlength=len(y)), -30, 30)))
+            new = ahead + rate * (np.bincount(f, (many * (y - p))[row], minlength=DIMS) - decay * ahead)
+            w, ahead = new, new + k / (k + 3) * (new - w)
+    return Model(w.astype(np.float32), {k: (n[k], e[k]) for k in n}, share)
+
+
+def sentence_ends(text: str, model: Model) -> list[int]:
+    """Ends of the sentences of a value, in code points."""
+    last = len(text.rstrip())
+    if not last:
+        return []
+    w = model.weights
+    ends = {last}
+    for m in _BLANK.finditer(text):
+        a = m.start()
+        while a > 0 and text[a - 1].isspace():
+            a -= 1
+        ends.add(a)
+    for c in candidates(text):
+        if len(c.right) > 1:
+            continue  # the end of a paragraph
+        told = None if c.key is None else _rate(*model.ends.get(c.key, (0, 0)), model.share)
+        if w[_index(_names(c.left, c.right[0], told))].sum() > 0:
+            ends.add(c.end)
+    first = len(text) - len(text.lstrip())
+    return sorted(x for x in ends if x > first)
 
 
 def _unspaced(text: str) -> bool:
@@ -257,10 +298,10 @@ def _unspaced(text: str) -> bool:
     return bool(letters) and 2 * len(_UNSPACED.findall(text)) > len(letters)
 
 
-def fit(df: DataFrame, id_col: str, text_cols: list[str], sample: int = SAMPLE) -> np.ndarray:
+def fit(df: DataFrame, id_col: str, text_cols: list[str], sample: int = SAMPLE) -> Model:
     """The model of a table, from the values of at most ``sample`` ids, the least by hash."""
     rows = df.select(F.col(id_col).alias("id"), *text_cols).orderBy(F.xxhash64(F.col(id_col)), F.col(id_col), *text_cols).limit(sample).collect()
-    seen = {t for r in rows for t in r[1:] if t and "." in t}
+    seen = {t for r in rows for t in r[1:] if t and t.strip()}
     return train(sorted(seen))
 
 
@@ -269,13 +310,13 @@ def sentences(df: DataFrame, id_col: str, text_cols: list[str], sample: int = SA
     told = df.sparkSession.sparkContext.broadcast(fit(df, id_col, text_cols, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = told.value
+        model = told.value
         for batch in batches:
             ids, fields, ends = [], [], []
             for k, name in enumerate(text_cols, 1):
                 for i, t in zip(batch.column(0).to_pylist(), batch.column(k).to_pylist()):
                     if t:
-                        e = sentence_ends(t, w)
+                        e = sentence_ends(t, model)
                         ids += [i] * len(e)
                         fields += [name] * len(e)
                         ends += e

@@ -22,42 +22,89 @@ from millrace.llm.pysyntax import python_errors
 # 1
 
 
-ZERO = np.zeros(sentences.DIMS + 1, np.float32)
-ZERO[-1] = 1.0  # whatever the structure leaves open ends a sentence
+PARTS = [
+    ["Dr. Orvane saw 3.5 of e.g. map.py.", "It broke!", "Why?"],
+    ["J. R. Ostrel asked us.", "On v0.3.9 it took 27.3 s, not 20.1 s.", "Go."],
+    ["Der 7. Zweig hält.", "Manche Teile, z. B. kilo, bleiben."],
+    ['"Stop it. Keep that," the log said.', "Done."],
+    ['It failed with "broken router: x!" and then went on.', "Next."],
+    ["«Где шлюз? Вот порядок!» — сказал д-р Орван.", "Часть шагов, т. е. узел, заняла 27,8 с.", "Здесь уже нет."],
+    ["¿Por qué?", "¡No toques!", "El Sr. Tassil tardó 5.1 s, pág. 72.", "Fin."],
+    ["A heading, vol. 4", "Then text\nthat wraps."],
+    ["“骨架已经平稳了！”记录者说，始末仍需扶持。", "他问：“可以吗？不必。”", "此处偏于急躁？！"],
+    ["《夏星篇》云“风实而土制。”，又云“石影降静。”", "泉虚而金生。"],
+    ["「手順は良いか。部品も直す。」と師は言った。", "gate.pyの門番（節目を含む。）を見守るべきだ。"],
+    ["यह ठीक है।", "डॉ. ओरवेन ने कहा।"],
+    ["هل الفصل قبل النافذة؟", "هذا البوابة فارغ الآن."],
+]
+# more of the same kinds, so that tokens are seen at the ends of paragraphs and elsewhere
+MORE = {
+    "en": ["Mr. Tassil went home again.", "It took 12 s.", "See fig. 3 and vol. 4, please.", "We asked Dr. Varn vs. the log.", "Ms. Q. Varn saw the gate.", "Prof. Keld asked us, i.e. the two of us, to stop.", "The gate is stable.", "Run 7 took 3.5 s.", "It is (no. 7) late.", "It got 399.", "Nobody saw it!", "Is it so?", 'He said "it broke: no!" and left.', "Keep map.py again.", "J. R. Ostrel went home.", "Cf. the log, e.g. map.py.", "It rose approx. 7 points.", "(It was late.) We went."],
+    "de": ["Der 3. Rahmen ist alt.", "Am 11. Zweig hält er.", "Das dauert 3,5 Sekunden bzw. zwei.", "Manche, z. B. kilo, bleiben.", "Der Rahmen ist neu.", "Jeder 5. Zweig bleibt.", "Er wog 12 kilo.", "Es sind 40."],
+    "ru": ["Здесь узел, т. е. порядок, уже был.", "Часть заняла 3,5 с.", "Шаг занял 7 с.", "Шлюз, т. е. узел, стоит.", "«Где он? Вот!» — сказал д-р Орван.", "Его видел д-р Орван."],
+    "es": ["El Sr. Tassil habló.", "La Dra. Keldra dice algo.", "Tardó 5.1 s, pág. 12.", "¿Por qué no?", "El marco es nuevo.", "Es la pág. 7 y la pág. 9."],
+    "zh": ["他云“可以。”，又云“不必。”", "“可以！”先生曰，水归木急。", "此处偏于急躁。", "怎样保留？", "他说：“不必。”", "木散木厚！", "（另见一条。）", "由于清楚……所以慢。"],
+    "ja": ["「良いか。直す。」と師は言った。", "部品を直す。", "門番（節目を含む。）を見守る。", "流れを比べる！"],
+    "hi": ["यह ठीक है।", "डॉ. ओरवेन ने कहा।", "डॉ. ओरवेन यहाँ है।", "यह नई है।"],
+    "ar": ["هذا البوابة فارغ الآن.", "هل الفصل قبل النافذة؟"],
+}
 
 
-def cut(text):
+@pytest.fixture(scope="module")
+def boundaries():
+    rnd = random.Random(3)
+    texts = []
+    for lang, known in MORE.items():
+        for _ in range(400):
+            sep = "" if lang in ("zh", "ja") else " "
+            texts.append(rnd.choice(["\n\n", sep]).join(sep.join(rnd.choice(known) for _ in range(rnd.randint(1, 3))) for _ in range(rnd.randint(1, 3))))
+    texts += ["金燥水明　木润水刚 风厚", "แผนงาน\nใช้เวลา 2.4 นาที แล้ว", "凡木也夫水矣"] * 20
+    return sentences.train(texts)
+
+
+def cut(text, model):
     out, at = [], 0
-    for e in sentences.sentence_ends(text, ZERO):
+    for e in sentences.sentence_ends(text, model):
         out.append(text[at:e].strip())
         at = e
     return out
 
 
-@pytest.mark.parametrize(
-    "parts",
-    [
-        ["Dr. Orvane saw 3.5 of e.g. map.py.", "It broke!", "Why?"],
-        ["J. R. Ostrel asked us.", "On v0.3.9 it took 27.3 s, not 20.1 s.", "Go."],
-        ["Der 7. Zweig hält.", "Manche Teile, z. B. kilo, bleiben."],
-        ['"Stop it. Keep that," the log said.', "Done."],
-        ['It failed with "broken router: x!" and then went on.', "Next."],
-        ["«Где шлюз? Вот порядок!» — сказал д-р Орван.", "Часть шагов, т. е. узел, заняла 27,8 с.", "Здесь уже нет."],
-        ["¿Por qué?", "¡No toques!", "El Sr. Tassil tardó 5.1 s, pág. 72.", "Fin."],
-        ["A heading, vol. 4", "Then text\nthat wraps."],
-        ["“骨架已经平稳了！”记录者说，始末仍需扶持。", "他问：“可以吗？不必。”", "此处偏于急躁？！"],
-        ["《夏星篇》云“风实而土制。”，又云“石影降静。”", "泉虚而金生。"],
-        ["「手順は良いか。部品も直す。」と師は言った。", "gate.pyの門番（節目を含む。）を見守るべきだ。"],
-        ["यह ठीक है।", "डॉ. ओरवेन ने कहा।"],
-        ["هل الفصل قبل النافذة؟", "هذا البوابة فارغ الآن."],
-    ],
-)
-def test_sentences(parts):
+@pytest.mark.parametrize("parts", PARTS)
+def test_sentences(parts, boundaries):
     sep = "\n\n" if parts[0].startswith("A heading") else "" if re.search("[一-鿿]", parts[0]) else "  "
-    assert cut(sep.join(parts)) == parts
+    assert cut(sep.join(parts), boundaries) == parts
+
+
+def test_the_boundary_model_decides(boundaries):
+    """Without the model, or with one that was shown no stops of abbreviations, boundaries get wrong."""
+    text = "Dr. Orvane saw Mr. Tassil. It broke, e.g. twice. Der 7. Rahmen hält. He saw (no. 7) it."
+    right = ["Dr. Orvane saw Mr. Tassil.", "It broke, e.g. twice.", "Der 7. Rahmen hält.", "He saw (no. 7) it."]
+    assert cut(text, boundaries) == right
+    yes, no = boundaries.weights.copy(), boundaries.weights.copy()
+    yes[sentences._index(["bias"])] += 1000
+    no[sentences._index(["bias"])] -= 1000
+    assert len(cut(text, boundaries._replace(weights=yes))) > 7 and cut(text, boundaries._replace(weights=no)) == [text]
+    blind = boundaries._replace(ends={})
+    assert cut(text, blind) != right  # the statistics of tokens count
+    assert cut("Die Zrg. Orvane sah es. Es ging.", boundaries._replace(ends={**boundaries.ends, "zrg": (400, 0)})) == ["Die Zrg. Orvane sah es.", "Es ging."]  # no list knows it
+
+
+def test_sentences_in_linear_time(boundaries):
+    import time
+
+    def seconds(n):
+        text = "Dr. Orvane saw “it. Go on” twice (see it.) again! " * n
+        began = time.perf_counter()
+        assert len(sentences.sentence_ends(text, boundaries)) >= n
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(8000) < 16 * max(seconds(1000), 0.02)
 
 
-def test_sentences_without_stops():
+def test_sentences_without_stops(boundaries):
+    cut = lambda text: globals()["cut"](text, boundaries)
     assert cut("金燥水明　木润水刚 风厚") == ["金燥水明", "木润水刚", "风厚"]
     assert cut("แผนงาน\nใช้เวลา 2.4 นาที แล้ว") == ["แผนงาน", "ใช้เวลา 2.4 นาที", "แล้ว"]
     assert cut("凡木也夫水矣") == ["凡木也", "夫水矣"]
