@@ -325,20 +325,64 @@ def test_near_duplicates_are_whole(spark, monkeypatch):
     assert neardup.similar_pairs(df.limit(0), "step_id", "text").count() == 0
 
 
-def test_pigeonring_keeps_what_is_near(spark):
+def test_pigeonring_keeps_what_is_near_and_prunes(spark):
     rnd = np.random.default_rng(4)
-    rows, want = [], []
-    for i in range(200):
+    rows, near, whole = [], [], []
+    for i in range(600):
         a = rnd.integers(0, 2, 256)
         b = a.copy()
-        flips = rnd.choice(256, rnd.integers(0, 60), replace=False)
-        b[flips] ^= 1
+        b[rnd.choice(256, rnd.integers(0, 90), replace=False)] ^= 1
         pack = lambda x: [int(v) for v in np.packbits(x.astype(np.uint8), bitorder="little").view(np.int64)]
         rows.append((i, *pack(a), *pack(b)))
-        want.append(len(flips) <= 30)
+        boxes = (a != b).reshape(16, 16).sum(axis=1)
+        whole.append(boxes.sum() <= 30)
+        near.append({n: any(all(sum(boxes[(s + k) % 16] for k in range(m + 1)) * 16 <= 30 * (m + 1) for m in range(n)) for s in range(16)) for n in (1, 3, 8)})
     df = spark.createDataFrame(rows, "i long, " + ", ".join(f"{s}{k} long" for s in "ab" for k in range(4)))
-    keep = neardup.pigeonring([F.col(f"a{k}") for k in range(4)], [F.col(f"b{k}") for k in range(4)], F.lit(30))
-    assert [r.k for r in df.orderBy("i").select(keep.alias("k")).collect()] == want
+    kept = []
+    for n in (1, 3, 8):
+        keep = neardup.pigeonring([F.col(f"a{k}") for k in range(4)], [F.col(f"b{k}") for k in range(4)], F.lit(30), n)
+        got = [r.k for r in df.orderBy("i").select(keep.alias("k")).collect()]
+        assert got == [x[n] for x in near]
+        assert all(g for g, w in zip(got, whole) if w)  # nothing near is lost
+        kept.append(sum(got))
+    assert 600 > kept[0] > kept[1] > kept[2] >= sum(whole)  # longer chains prune more of the far ones
+
+
+def test_chains_prune_candidates_before_the_full_check(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "HOT_LEAST", 1 << 30)  # no member counts as common: more candidates
+    rnd = random.Random(12)
+    head = [f"r{i}" for i in range(12)]  # rare runs that many share, so that they meet as candidates
+    texts = {i: " ".join(rnd.sample(head, 12) * (i % 2) + head + [f"w{rnd.randrange(3000)}" for _ in range(40)]) for i in range(120)}
+    texts |= {1000 + i: texts[i] + f" end{i}" for i in range(20)}
+    df = spark.createDataFrame(list(texts.items()), "id long, text string")
+    feats = neardup.features(df, "id", "text").persist()
+    pairs_of = neardup.candidates(feats, 7, 10).persist()
+    ring = feats.where("first")
+    x = pairs_of.join(ring.select(F.col("sid").alias("a"), F.col("n").alias("na"), *[F.col(f"sk{k}").alias(f"a{k}") for k in range(4)]), "a")
+    x = x.join(ring.select(F.col("sid").alias("b"), F.col("n").alias("nb"), *[F.col(f"sk{k}").alias(f"b{k}") for k in range(4)]), "b")
+    tau = F.floor((F.col("na") + F.col("nb")) * 3 / 17)
+    left = x.where(neardup.pigeonring([F.col(f"a{k}") for k in range(4)], [F.col(f"b{k}") for k in range(4)], tau)).count()
+    assert 20 <= left < 0.5 * pairs_of.count()
+    assert neardup.similar_sets(feats).count() == len(brute_pairs(texts)) == 20
+
+
+def test_hot_copies_are_split(spark, monkeypatch):
+    """A third of all rows is one text, more than a block holds, and near another one."""
+    monkeypatch.setattr(neardup, "HOT_BLOCK", 20)
+    base = " ".join(f"w{i}" for i in range(80))
+    texts = {i: base for i in range(100)} | {100 + i: base + " x y" for i in range(5)} | {200 + i: " ".join(f"v{i}_{k}" for k in range(40)) for i in range(200)}
+    df = spark.createDataFrame(list(texts.items()), "id long, text string")
+    got = [tuple(r) for r in neardup.similar_pairs(df, "id", "text").collect()]
+    assert len(got) == len(set(got)) == 105 * 104 // 2 and set(got) == brute_pairs(texts)
+    out = {(r.group_id, r.links) for r in neardup.groups(df, "id", "text").collect()}
+    assert out == {(0, 104)}
+
+
+def test_thinly_spread_members_are_seen(spark):
+    texts = [(i, " ".join([f"a{i}", "one", "two", "three", "four"] + [f"b{i}_{k}" for k in range(30)])) for i in range(800)]
+    df = spark.createDataFrame(texts, "id long, text string").repartition(800)  # a row a task
+    hot, counts = neardup._hot(neardup.features(df, "id", "text"))
+    assert len(hot) == 2 and all(300 < c < 2000 for c in counts)
 
 
 # 7
