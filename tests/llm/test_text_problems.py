@@ -461,6 +461,34 @@ def test_leaks_are_whole(spark):
     assert leaks.leaks(df.limit(0), "doc_id", "text", it, "item_id", "text", "lang").count() == 0
 
 
+def test_block_max_wand_retrieves_all_and_scores_few():
+    rnd = random.Random(4)
+    words = [f"w{int(rnd.paretovariate(0.6))}" for _ in range(30_000)]
+    items = [(i, [rnd.choice(words) for _ in range(rnd.randint(15, 80))]) for i in range(1500)]
+    index = leaks.Index(items, 15)
+    assert sum(map(len, index.items)) == sum(len(set(t)) for _, t in items)  # as many postings as items hold terms
+    scored = []
+    for n in range(200):
+        a = rnd.choice(items)[1]
+        q = collections.Counter(index.term_ids[t] for t in a[:20] + [rnd.choice(words) for _ in range(10)] if t in index.term_ids)
+        want = set()
+        for k in range(len(index.ids)):
+            if sum(c * dict(zip(index.items[t], index.impacts[t])).get(k, 0) for t, c in q.items() if k in set(index.items[t])) >= index.limit[k] if n < 5 else False:
+                want.add(k)
+        got = list(index.retrieve(q))
+        assert len(got) == len(set(got)) and (n >= 5 or set(got) == want)
+        scored.append(len(got))
+    assert sum(scored) >= 200
+
+
+def test_leaks_in_shards(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "SHARD", 500)
+    items = [(i, " ".join(f"w{i}_{k}" for k in range(20)), "en") for i in range(40)]
+    docs = [(i, "So " + items[i][1].upper() + ".") for i in range(40)] + [(99, "nothing")]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string, lang string")
+    assert {tuple(r) for r in leaks.leaks(df, "doc_id", "text", it, "item_id", "text", "lang").collect()} == {(i, i) for i in range(40)}
+
+
 # 9
 
 
