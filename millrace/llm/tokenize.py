@@ -2,10 +2,11 @@
 
 The transducer reads bytes from left to right. For every prefix of a piece exactly one token can be the last of its
 encoding: the one that is compatible with the last token of the prefix before it (two tokens are compatible if encoding
-their bytes gives them back). A later token can begin at most ``lookahead`` bytes back, the length of the longest token
-that the merge list makes, so what all of the last ``lookahead`` prefixes' encodings have in common is stable: it is
-emitted and forgotten, and memory stays constant whatever the length of the input. Ids go back to text by an
-incremental byte-to-text machine.
+their bytes gives them back). A token that ends beyond the bytes read so far begins where they end in a proper prefix of
+a token that the merge list makes: at most ``lookahead`` bytes back, which is computed from the merge list, and of these
+places only where the bytes are such a prefix. So what the encodings of the prefixes up to these live places have in
+common is stable: it is emitted and forgotten, and the transducer's memory stays constant whatever the length of the input.
+Pieces of a text come from an iterator, one at a time. Ids go back to text by an incremental byte-to-text machine.
 
 Null and empty texts give an empty list; strings that spell special tokens are ordinary text; texts are taken whole.
 """
@@ -27,6 +28,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MEMO = 250_000
 MEMO_BYTES = 64
+LONG = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,8 +53,13 @@ class Merges:
                 self.pairs[made] = i
             else:
                 self.left[i] = self.right[i] = i
-        # a merge may join other halves than those that make the token alone
-        self.lookahead = max(map(len, ranks))
+        # the longest proper prefix of a token that comes by merging
+        self.lookahead = max((len(self.bytes_of[i]) - 1 for i in self.pairs.values()), default=0)
+        self.starts: dict = {}
+        for i in self.pairs.values():
+            node = self.starts
+            for c in self.bytes_of[i][:-1]:
+                node = node.setdefault(c, {})
         self.ends: dict = {}
         for b, i in ranks.items():
             node = self.ends
@@ -115,7 +122,7 @@ class Transducer:
         self.before: int = -1  # the token emitted before the window
 
     def feed(self, data: bytes) -> Iterator[int]:
-        ends, ok, window, last, limit = self.m.ends, self.m.compatible, self.window, self.last, 4 * self.m.lookahead + 64
+        ends, ok, window, last, limit = self.m.ends, self.m.compatible, self.window, self.last, 2 * self.m.lookahead + 64
         for c in data:
             window.append(c)
             n = len(window)
@@ -143,9 +150,21 @@ class Transducer:
             end -= len(self.m.bytes_of[t])
         return out[::-1]
 
+    def _live(self) -> list[int]:
+        """Where a token that ends later can begin: the ends of the window that are proper prefixes of tokens, and its end."""
+        n, out = len(self.window), []
+        for at in range(max(0, n - self.m.lookahead), n):
+            node = self.m.starts
+            for c in self.window[at:]:
+                node = node.get(c)
+                if node is None:
+                    break
+            else:
+                out.append(at)
+        return [*out, n]
+
     def _stable(self) -> list[int]:
-        n = len(self.window)
-        chains = [self._chain(e) for e in range(n - self.m.lookahead + 1, n + 1)]
+        chains = [self._chain(e) for e in self._live()]
         k = 0
         shortest = min(map(len, chains))
         while k < shortest and all(c[k] == chains[0][k] for c in chains):
@@ -184,7 +203,8 @@ class Encoder:
         if not text:
             return out
         memo = self.memo
-        for p in self.split.findall(text):
+        # a long text's pieces aren't held at once
+        for p in self.split.findall(text) if len(text) < LONG else map(regex.Match.group, self.split.finditer(text)):
             ids = memo.get(p)
             if ids is None:
                 ids = self.piece(p)

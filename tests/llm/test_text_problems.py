@@ -413,7 +413,20 @@ def test_long_runs_stream(encoder, public):
         assert encoder.encode(text) == public.encode_ordinary(text)
     t = tokenize.Transducer(encoder.m)
     out = list(t.feed(b"the" * 5000))
-    assert len(t.window) < 8 * encoder.m.lookahead and out  # constant memory, ids come out early
+    assert len(t.window) < 3 * encoder.m.lookahead + 64 and out  # constant memory, ids come out early
+    long = "the water, 水火 the=-\n" * 20_000
+    assert len(long) > tokenize.LONG and encoder.encode(long) == public.encode_ordinary(long)
+
+
+def test_lookahead_of_a_merge_list():
+    ranks = {bytes([c]): c for c in range(256)} | {b"ab": 256, b"bc": 257, b"abc": 258, b"abcd": 259, b"xyzzy": 260}
+    m = tokenize.Merges(ranks)
+    assert m.lookahead == 3  # abcd is made by merges; xyzzy never is
+    t = tokenize.Transducer(m)
+    out = list(t.feed(b"abcdabc" * 50 + b"xyzzyab"))
+    assert t._live() == [len(t.window) - 2, len(t.window) - 1, len(t.window)] or t._live() == [len(t.window) - 2, len(t.window)]
+    assert b"".join(m.bytes_of[i] for i in out + t.finish()) == b"abcdabc" * 50 + b"xyzzyab"
+    assert tokenize.Merges({bytes([c]): c for c in range(256)}).lookahead == 0
 
 
 def test_ids_of_a_table(spark):
