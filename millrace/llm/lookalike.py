@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HOT_BLOCK = 4096
 # fixed values: letters and signs that look like an ASCII one, by script
 LOOKALIKES = {
     "АВЕКМНОРСТХІЅЈУԌԚԜ": "ABEKMHOPCTXISJYGQW",
@@ -28,6 +29,7 @@ LOOKALIKES = {
     "ɑɡꞓ": "agc",
     "‐‑‒–⁃−﹘﹣˗": "---------",
     "⁄∕∶꞉․‚∣∼∙⋅・": "//::.,|~···",
+    "カエニロタトハヘノー": "力工二口夕卜八へ丿一",
     "\t    ": "     ",
 }
 # ranges whose compatibility form looks the same; raised and lowered digits lie outside
@@ -50,7 +52,7 @@ def fold_table() -> dict[int, str]:
         table.update(dict.fromkeys(range(a, b + 1), ""))
     for odd, plain in LOOKALIKES.items():
         table.update({ord(o): p for o, p in zip(odd, plain, strict=True)})
-    return table
+    return {c: v.translate(table) for c, v in table.items()}
 
 
 def mapped(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -78,12 +80,13 @@ def same_look(points: DataFrame, refs: DataFrame) -> DataFrame:
 
     Both inputs have the columns ``id`` and ``text``."""
     both = _keyed(mapped(points.where(F.col("text") != ""), "id", "text"), 0).unionByName(_keyed(mapped(refs, "id", "text"), 1))
-    classes = both.groupBy("form").agg(F.min("own").alias("canon"), F.max("own").alias("last"), F.min("side").alias("lo"), F.max("side").alias("hi"))
-    classes = classes.where("lo = 0 and hi = 1 and canon <> last").select("form", "canon")
-    members = both.join(classes, "form").select("side", "id", "own", "canon").distinct()
-    p = members.where("side = 0").select(F.col("id").alias("point_id"), F.col("own").alias("p"), "canon")
-    r = members.where("side = 1").select(F.col("id").alias("ref_id"), F.col("own").alias("r"), "canon")
-    return p.join(r, "canon").where("p <> r").select("point_id", "ref_id").distinct()
+    classes = both.groupBy("form").agg(F.min("own").alias("canon"), F.max("own").alias("last"), F.min("side").alias("lo"), F.max("side").alias("hi"), F.sum("side").alias("refs"))
+    # a class with many references is joined in blocks of them, each with all its points
+    classes = classes.where("lo = 0 and hi = 1 and canon <> last").select("form", "canon", F.ceil(F.col("refs") / HOT_BLOCK).cast("int").alias("blocks"))
+    members = both.join(classes, "form").select("side", "id", "own", "canon", "blocks").distinct()
+    p = members.where("side = 0").select(F.col("id").alias("point_id"), F.col("own").alias("p"), "canon", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    r = members.where("side = 1").select(F.col("id").alias("ref_id"), F.col("own").alias("r"), "canon", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    return p.join(r, ["canon", "block"]).where("p <> r").select("point_id", "ref_id").distinct()
 
 
 def canonical(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
