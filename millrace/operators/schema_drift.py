@@ -2,8 +2,8 @@
 
 Lines of JSON become cells (file, id, field, type, digest of the value); what a wrapper or a list holds counts as the
 value itself, so a value keeps its digest when only its type changes. Columns of following files are profiled (types,
-filled values, bottom-k sketch of digests, values that shared ids keep), a maximum-weight bipartite matching of the
-fields of both files finds what stayed, moved to another name, came or went, and the matches, chained over the files of
+a bounded sketch of the different values, values that shared ids keep), a maximum-weight bipartite matching of the
+fields of both files, weighted by all of these and the names, finds what stayed, moved to another name, came or went, and the matches, chained over the files of
 a collection, unify the columns. Cells are spread by collection, file and id, so a hot collection is no hot task; a task
 that solves a matching sees only profiles, a few rows for each pair of fields.
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import stage
 
-SKETCH = 32
+SKETCH = 7
 CELL = "collection string, file_name string, file_no int, id string, field string, kind string, digest long, value string"
 CHANGE = "file_name string, change string, field_before string, field_after string"
 
@@ -82,15 +82,9 @@ def cells(df: DataFrame, collection: str, file_name: str, file_no: str, raw: str
 
 
 def _profiles(x: DataFrame) -> DataFrame:
-    """Per file and field: types, filled values and a bottom-k sketch of the digests, over the file's place ``seq``."""
-    hashed = F.xxhash64("digest")
-    p = x.groupBy("collection", "file_name", "seq", "field").agg(
-        F.collect_set("kind").alias("kinds"),
-        F.count("digest").alias("filled"),
-        F.min("seq").alias("at"),
-        F.collect_set(F.when(F.pmod(hashed, F.lit(8)) == 0, hashed)).alias("sketch_a"),
-    )
-    return p.select("collection", "file_name", "seq", "field", F.sort_array("kinds").alias("kinds"), "filled", F.slice(F.sort_array("sketch_a"), 1, SKETCH).alias("sketch"))
+    """Per file and field: types and a sketch of the different values, of 2^SKETCH hashes at most, over the file's place ``seq``."""
+    p = x.groupBy("collection", "file_name", "seq", "field").agg(F.collect_set("kind").alias("kinds"), F.theta_sketch_agg("digest", SKETCH).alias("sketch"))
+    return p.withColumn("kinds", F.sort_array("kinds"))  # there are six kinds
 
 
 def matching(weights: np.ndarray) -> list[tuple[int, int]]:
@@ -125,26 +119,35 @@ def matching(weights: np.ndarray) -> list[tuple[int, int]]:
     return [(int(match[j]), j) for j in range(m) if 0 <= match[j] < n and weights[match[j], j] > 0]
 
 
-MOVED, STAYED = 0.25, 0.2
+MOVED, STAYED, PRIOR = 0.25, 0.2, 2.0
 
 
-def pair_fields(before: dict[str, dict], after: dict[str, dict], kept: dict[tuple[str, str], float]) -> dict[str, str]:
-    """Fields of the file before -> fields of the file after. ``kept`` has the share of shared ids that keep a value.
+def likeness(x: str, y: str, kinds_x: list[str], kinds_y: list[str], common: float) -> float:
+    """What two columns are expected to share before any id is compared: values by their sketches, names and types."""
+    same_kind = bool(set(kinds_x) & set(kinds_y)) or not kinds_x or not kinds_y
+    return 0.5 * common + 0.3 * SequenceMatcher(None, x, y).ratio() + 0.2 * same_kind
 
-    Other names pair only by values that moved; a name that stays pairs first by values that stayed, then for want of
-    evidence, and last against the evidence that its values went or came elsewhere. Sketches and names settle ties."""
+
+def pair_fields(before: dict[str, list[str]], after: dict[str, list[str]], kept: dict[tuple[str, str], tuple[int, int, float]]) -> dict[str, str]:
+    """Fields of the file before -> fields of the file after, from their types. ``kept`` has for pairs of fields how many
+    shared ids keep a value, of how many that had one, and what share of the values their sketches have in common.
+
+    A pair's share is estimated from the shared ids and from its likeness, which counts as ``PRIOR`` ids: it decides
+    between fields that keep the same values and where few ids are shared. Other names pair only by values that moved; a
+    name that stays pairs first by values that stayed, then for want of evidence, and last against the evidence that its
+    values went or came elsewhere."""
     a, b = sorted(before), sorted(after)
-    moves = {p for p, share in kept.items() if p[0] != p[1] and share >= MOVED and p[0] in before and p[1] in after}
+    share = {p: (same + PRIOR * likeness(*p, before[p[0]], after[p[1]], common)) / (had + PRIOR) for p, (same, had, common) in kept.items() if p[0] in before and p[1] in after}
+    moves = {p for p, s in share.items() if p[0] != p[1] and s >= MOVED}
     touched = {x for x, _ in moves}, {y for _, y in moves}
     w = np.zeros((len(a), len(b)))
     for i, x in enumerate(a):
         for j, y in enumerate(b):
-            share = kept.get((x, y), 0.0)
+            s = share.get((x, y), 0.0)
             if x == y:
-                w[i, j] = 1.5 + share if share >= STAYED else 0.1 if x in touched[0] or y in touched[1] else 0.5
+                w[i, j] = 1.5 + s if s >= STAYED else 0.1 if x in touched[0] or y in touched[1] else 0.5
             elif (x, y) in moves:
-                s, t = set(before[x]["sketch"]), set(after[y]["sketch"])
-                w[i, j] = 0.3 + share + 0.01 * SequenceMatcher(None, x, y).ratio() + 0.01 * len(s & t) / max(1, len(s | t))
+                w[i, j] = 0.3 + s
     return {a[i]: b[j] for i, j in matching(w)} if a and b else {}
 
 
@@ -163,12 +166,16 @@ def pairings(x: DataFrame) -> DataFrame:
     shared = new.select("collection", "seq", "id").distinct()
     base = old.join(shared, ["collection", "seq", "id"], "left_semi").groupBy("collection", "seq", "x").agg(F.count("*").alias("had"))
     kept = old.join(new, ["collection", "seq", "id", "digest"]).groupBy("collection", "seq", "x", "y").agg(F.count("*").alias("same"))
-    kept = kept.join(base, ["collection", "seq", "x"]).select("collection", "seq", "x", "y", (F.col("same") / F.col("had")).alias("share"))
-    prof = _profiles(x)
+    kept = kept.join(base, ["collection", "seq", "x"])
+    prof = stage(_profiles(x), "profiles")
+    old_sketch = prof.select("collection", (F.col("seq") + 1).alias("seq"), F.col("field").alias("x"), F.col("sketch").alias("sketch_x"))
+    kept = kept.join(old_sketch, ["collection", "seq", "x"]).join(prof.select("collection", "seq", F.col("field").alias("y"), F.col("sketch").alias("sketch_y")), ["collection", "seq", "y"])
+    common = F.theta_sketch_estimate(F.theta_intersection("sketch_x", "sketch_y")) / F.greatest(F.lit(1), F.theta_sketch_estimate(F.theta_union("sketch_x", "sketch_y")))
+    kept = kept.select("collection", "seq", "x", "y", "same", "had", common.alias("common"))
     none = F.lit(None)
-    rows = prof.select("collection", "seq", F.lit("after").alias("part"), "file_name", F.col("field").alias("x"), none.cast("string").alias("y"), none.cast("double").alias("share"), "kinds", "sketch")
-    rows = rows.unionByName(prof.select("collection", (F.col("seq") + 1).alias("seq"), F.lit("before").alias("part"), "file_name", F.col("field").alias("x"), none.cast("string").alias("y"), none.cast("double").alias("share"), "kinds", "sketch"))
-    rows = rows.unionByName(kept.select("collection", "seq", F.lit("kept").alias("part"), none.cast("string").alias("file_name"), "x", "y", "share", none.cast("array<string>").alias("kinds"), none.cast("array<long>").alias("sketch")))
+    side = lambda part, seq: prof.select("collection", seq.alias("seq"), F.lit(part).alias("part"), "file_name", F.col("field").alias("x"), none.cast("string").alias("y"), none.cast("long").alias("same"), none.cast("long").alias("had"), none.cast("double").alias("common"), "kinds")
+    rows = side("after", F.col("seq")).unionByName(side("before", F.col("seq") + 1))
+    rows = rows.unionByName(kept.select("*", F.lit("kept").alias("part"), none.cast("string").alias("file_name"), none.cast("array<string>").alias("kinds")))
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +186,7 @@ def pairings(x: DataFrame) -> DataFrame:
                 if not before or not after:
                     continue
                 name = next(iter(after.values()))["file_name"]
-                pairs = pair_fields(before, after, {(r["x"], r["y"]): r["share"] for r in parts if r["part"] == "kept"})
+                pairs = pair_fields({x: r["kinds"] for x, r in before.items()}, {y: r["kinds"] for y, r in after.items()}, {(r["x"], r["y"]): (r["same"], r["had"], r["common"]) for r in parts if r["part"] == "kept"})
                 for x, y in pairs.items():
                     k, m = before[x]["kinds"], after[y]["kinds"]
                     out.append((c, seq, name, "renamed" if x != y else "retyped" if k and m and not set(k) & set(m) else None, x, y))
@@ -190,7 +197,7 @@ def pairings(x: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, kinds)], names=["collection", "seq", "file_name", "change", "field_before", "field_after"])
 
     # a pair of files has one row per field of each and per pair of fields that share a value
-    parts = rows.groupBy("collection", "seq").agg(F.collect_list(F.struct("part", "file_name", "x", "y", "share", "kinds", "sketch")).alias("parts"))
+    parts = rows.groupBy("collection", "seq").agg(F.collect_list(F.struct("part", "file_name", "x", "y", "same", "had", "common", "kinds")).alias("parts"))
     return parts.mapInArrow(solve, "collection string, seq int, " + CHANGE)
 
 

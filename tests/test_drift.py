@@ -104,3 +104,19 @@ def test_a_later_name_takes_no_other_columns_place(spark):
     g = {1: [{"id": i, "body": f"a{i}"} for i in ids], 2: [{"id": i, "text": f"a{i}"} for i in ids]}
     out = {r.id: (r.text, r.others) for r in D.unified(spark.createDataFrame(rows(g), SCHEMA), *ARGS, ["text"]).collect()}
     assert out == {str(i): (f"a{i}", {}) for i in ids}
+
+
+def test_sketches_names_and_types_decide_between_equal_moves():
+    from millrace.operators.schema_drift import pair_fields
+
+    kinds = ["string"]
+    # both new fields hold the one shared id's value: the sketches say which column it is
+    same = {("text", "a"): (1, 1, 0.1), ("text", "b"): (1, 1, 0.9)}
+    assert pair_fields({"text": kinds}, {"a": kinds, "b": kinds}, same) == {"text": "b"}
+    flat = {("text", "body"): (1, 1, 0.5), ("text", "text_2"): (1, 1, 0.5)}
+    assert pair_fields({"text": kinds}, {"body": kinds, "text_2": kinds}, flat) == {"text": "text_2"}
+    assert pair_fields({"text": kinds}, {"a": ["number"], "b": kinds}, {("text", "a"): (1, 1, 0.5), ("text", "b"): (1, 1, 0.5)}) == {"text": "b"}
+    # many shared ids outweigh them
+    assert pair_fields({"text": kinds}, {"body": kinds, "text_2": kinds}, {("text", "body"): (90, 100, 0.0), ("text", "text_2"): (40, 100, 0.9)}) == {"text": "body"}
+    # without values of shared ids nothing is renamed, whatever they say
+    assert pair_fields({"text": kinds}, {"text_2": kinds}, {}) == {}
