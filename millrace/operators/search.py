@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import line_score
+from millrace.functions.signals import score, signals
 from millrace.operators.dedup import top_per_group
 
 FILE_CHARS, FILE_LINES, LINE_CHARS = 500_000, 5_000, 1_000
@@ -37,7 +37,7 @@ def ranked_lines(files: DataFrame, words: list[str], per_file: int) -> DataFrame
     holds: Column = F.lit(False)
     for w in words:
         holds = holds | F.lower("line").contains(w.lower())
-    x = lines(files).where(holds).withColumn("score", line_score(F.col("path"), F.col("line"), words))
+    x = lines(files).where(holds).withColumn("score", score(signals(F.col("path"), F.col("line"), words)))
     return top_per_group(x, ["file_id"], [F.desc("score"), F.col("line_no")], per_file).select("file_id", "line_no", "score", "rank")
 
 

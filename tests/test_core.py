@@ -317,3 +317,48 @@ def test_hex_rows_are_whole(spark):
     got = sorted(tuple(r) for r in df.select("id", F.inline(hex_rows(F.col("text")))).collect())
     raw = [(i, (t or "").encode()) for i, t in enumerate(texts)]
     assert got == [(i, o, b[o : o + 16].hex().upper(), "".join(chr(x) if 32 <= x < 127 else "." for x in b[o : o + 16])) for i, b in raw for o in range(0, len(b), 16)]
+
+
+CASES_OF_SIGNALS = [
+    ("a/x.py", "pass", [], None, {"python file"}),
+    ("x.pyi", "pass", [], None, {"stub or toml file"}),
+    ("Tests/x.c", "pass", [], None, {"test path"}),
+    ("docs/a.md", "pass", [], None, {"doc path"}),
+    ("a.rst", "pass", [], None, {"doc path"}),
+    ("docs_src/a.py", "pass", [], None, {"python file"}),
+    ("docs_src/a.md", "pass", [], None, {"doc path"}),
+    ("examples/x.c", "pass", [], None, {"bench or example path"}),
+    ("io/my_text.py", "pass", [], None, {"python file", "text path"}),
+    ("x", "def lookup(a):", ["look"], None, {"definition", "definition begins", "name holds a term"}),
+    ("x", "  class Lookup:", ["zz", "lookup"], None, {"definition", "definition begins", "name is a term", "term"}),
+    ("x", "y(); class A", [], None, {"definition"}),
+    ("x", "\t# def a = b", [], None, set()),
+    ("x", "'''def a'''", [], None, set()),
+    ("x", "  @cached", [], None, {"at sign", "decorator begins"}),
+    ("x", "a @ b", [], None, {"at sign"}),
+    ("x", "a = 1", [], None, {"equals sign"}),
+    ("x", "foo.Strip (a)", [], None, {"string transform"}),
+    ("x", "map(line.strip, xs)", [], None, {"string transform"}),
+    ("x", "map(other.strip, xs)", [], None, set()),
+    ("x", "re.sub(a)", [], None, {"string transform"}),
+    ("x", "foo.join(a)", [], None, {"string transform", "verb called"}),
+    ("x", "for a in b: split", [], None, {"iteration"}),
+    ("x", "yield a", [], None, {"iteration"}),
+    ("x", "assert (a)", [], None, {"length or assert"}),
+    ("x", "pass", [], "decode_all", {"scope verb", "scope word"}),
+    ("x", "pass", [], "buffer", {"scope word"}),
+    ("x", "see the_cat a-b", ["cat", "the_cat", "A-B", " "], None, {"term"}),
+]
+
+
+def test_signals_and_weights_of_found_lines(spark):
+    from millrace.functions.signals import WEIGHTS, score, signals
+
+    for path, line, words, scope, want in CASES_OF_SIGNALS:
+        df = spark.createDataFrame([(path, line, scope)], "p string, l string, s string")
+        fired = signals(F.col("p"), F.col("l"), words, F.col("s"))
+        got, points = df.select(fired.alias("f"), score(fired).alias("s")).first()
+        assert set(got) == want and points == sum(WEIGHTS[x] for x in got), (path, line, got)
+    assert {x for *_, want in CASES_OF_SIGNALS for x in want} == set(WEIGHTS)
+    df = spark.createDataFrame([("a.py", "x = 1")], "p string, l string")
+    assert df.select(score(signals(F.col("p"), F.col("l"), []), {"equals sign": 3}).alias("s")).first().s == 3
