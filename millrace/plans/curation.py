@@ -145,18 +145,6 @@ def f4(spark, d):
     return x.select("step_id", "kind", F.lead("kind").over(w).alias("next_kind"), F.lead("c").over(w).alias("observed_chars"))
 
 
-@P.add("f2_outcome_kinds", f"""WITH {STEPS}, x AS (SELECT task_id, CASE WHEN action.action_type IN ('edit_file', 'write_file') AND regexp_matches(coalesce(action.new_string, action.content, ''), 'Error|not found|No match|no match|did not match|Failed|SyntaxError|old_str') THEN 'b'
- WHEN action.skill_name IN ('repro-check', 'test-gate') AND regexp_matches(coalesce(action.args[1], ''), 'Traceback|AssertionError|FAILED|Error') THEN 'a' ELSE 'clean' END AS kind FROM steps)
-SELECT task_id, count(*) FILTER (WHERE kind = 'clean') AS clean, count(*) FILTER (WHERE kind = 'a') AS type_a, count(*) FILTER (WHERE kind = 'b') AS type_b FROM x GROUP BY 1""")
-def f2(spark, d):
-    """Kinds of outcomes by case-sensitive words, which are fixed values."""
-    edit = ACT.action_type.isin("edit_file", "write_file") & F.coalesce(ACT.new_string, ACT.content, F.lit("")).rlike("Error|not found|No match|no match|did not match|Failed|SyntaxError|old_str")
-    test = ACT.skill_name.isin("repro-check", "test-gate") & F.coalesce(F.get(ACT.args, F.lit(0)), F.lit("")).rlike("Traceback|AssertionError|FAILED|Error")
-    kind = F.when(edit, "b").when(test, "a").otherwise("clean")
-    n = lambda k: F.sum((kind == k).cast("long"))
-    return steps(spark, d).groupBy("task_id").agg(n("clean").alias("clean"), n("a").alias("type_a"), n("b").alias("type_b"))
-
-
 @P.add("f5_script_memory", f"""WITH {STEPS}, x AS (SELECT step_id, task_id, step_index, coalesce(action.filepath, '') AS path, CASE WHEN action.action_type = 'write_file' THEN action.content END AS written, action.action_type AS kind FROM steps)
 SELECT step_id, md5(last_value(written IGNORE NULLS) OVER (PARTITION BY task_id, path ORDER BY step_index, step_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS remembered FROM x""")
 def f5(spark, d):
@@ -166,34 +154,6 @@ def f5(spark, d):
     return folds.remembered(x, "task_id", ORDER, F.col("path"), F.col("w"), "remembered").select("step_id", "remembered")
 
 
-def reconciled(observation):
-    o = F.when(ACT.action_type == "submit_patch", "Patch submitted.").when((ACT.skill_name == "repro-check") & F.coalesce(F.get(ACT.args, F.lit(0)), F.lit("")).contains("assert"), "Assertion passed.")
-    return o.when(ACT.new_string.isNotNull(), observation).otherwise("Success.")
-
-
-@P.add("f8_reconciled", f"""WITH {STEPS} SELECT step_id, CASE WHEN action.action_type = 'submit_patch' THEN 'Patch submitted.' WHEN action.skill_name = 'repro-check' AND contains(coalesce(action.args[1], ''), 'assert') THEN 'Assertion passed.' WHEN action.new_string IS NOT NULL THEN left(action.new_string, 40) ELSE 'Success.' END AS observation FROM steps""")
-def f8(spark, d):
-    return steps(spark, d).select("step_id", reconciled(F.left(ACT.new_string, F.lit(40))).alias("observation"))
-
-
-@P.add("f8_observations", f"""WITH {STEPS} SELECT step_id, CASE WHEN action.action_type = 'submit_patch' THEN 'Patch submitted.' WHEN action.skill_name = 'repro-check' AND contains(coalesce(action.args[1], ''), 'assert') THEN 'Assertion passed.' WHEN action.new_string IS NOT NULL THEN action.new_string ELSE 'Success.' END AS observation FROM steps""")
-def f8_observations(spark, d):
-    """The whole observations; ``f8_reconciled`` shows the first 40 characters of each."""
-    return steps(spark, d).select("step_id", reconciled(ACT.new_string).alias("observation"))
-
-
-@P.add("f9_diagnosis", f"""WITH {STEPS}, x AS (SELECT task_id, count(*) AS n, max(source_step_index) AS most, count(*) FILTER (WHERE action.action_type = 'edit_file' AND action.old_string IS NOT DISTINCT FROM action.new_string) AS idle, arg_max(action.action_type, (step_index, step_id)) AS last, count(*) FILTER (WHERE source_step_index < 0) AS below FROM steps GROUP BY 1)
-SELECT task_id, concat_ws(';', CASE WHEN n < 3 THEN 'too_short' WHEN n > 35 THEN 'too_long' END, CASE WHEN below > 0 THEN 'index_below' END, CASE WHEN idle > 0 THEN 'idle_edit' END, CASE WHEN last <> 'submit_patch' THEN 'not_submitted' END) AS findings FROM x""")
-def f9(spark, d):
-    x = steps(spark, d).groupBy("task_id").agg(
-        F.count("*").alias("n"),
-        F.sum(((ACT.action_type == "edit_file") & ACT.old_string.eqNullSafe(ACT.new_string)).cast("int")).alias("idle"),
-        F.max_by(ACT.action_type, F.struct(*ORDER)).alias("last"),
-        F.sum((F.col("source_step_index") < 0).cast("int")).alias("below"),
-    )
-    return x.select("task_id", F.concat_ws(";", F.when(F.col("n") < 3, "too_short").when(F.col("n") > 35, "too_long"), F.when(F.col("below") > 0, "index_below"), F.when(F.col("idle") > 0, "idle_edit"), F.when(F.col("last") != "submit_patch", "not_submitted")).alias("findings"))
-
-
 @P.add("f10_circuit_breaker", f"""WITH {STEPS}, x AS (SELECT step_id, task_id, step_index, CASE WHEN action.action_type IN ('edit_file', 'write_file') THEN 1 ELSE 0 END AS e, CASE WHEN action.action_type = 'run_skill_script' THEN 1 ELSE 0 END AS p FROM steps),
 y AS (SELECT *, sum(e) OVER (PARTITION BY task_id ORDER BY step_index, step_id ROWS UNBOUNDED PRECEDING) AS g FROM x)
 SELECT step_id, (sum(p) OVER w)::BIGINT AS probes, sum(p) OVER w >= 2 AS blocked FROM y WINDOW w AS (PARTITION BY task_id, g ORDER BY step_index, step_id ROWS UNBOUNDED PRECEDING)""")
@@ -260,15 +220,6 @@ def f7(spark, d):
     return x.groupBy("task_id").agg(trail.alias("trail"), F.count("*").alias("windows"))
 
 
-@P.add("f6_decision_windows", f"""WITH {STEPS}, x AS (SELECT step_id, task_id, step_index, action.action_type AS kind, list(action.action_type) OVER (PARTITION BY task_id ORDER BY step_index, step_id ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS before FROM steps)
-SELECT step_id, kind AS target, array_to_string(before, '>') AS context FROM x WHERE kind IN ('edit_file', 'write_file', 'run_skill_script', 'submit_patch')""")
-def f6(spark, d):
-    w = Window.partitionBy("task_id").orderBy(*ORDER).rowsBetween(-2, -1)
-    x = steps(spark, d).select("task_id", *ORDER, ACT.action_type.alias("target")).withColumn("before", F.collect_list("target").over(w))
-    x = x.where(F.col("target").isin("edit_file", "write_file", "run_skill_script", "submit_patch"))
-    return x.select("step_id", "target", F.when(F.size("before") > 0, F.array_join("before", ">")).alias("context"))
-
-
 @P.add("pred9_scratch_paths", rf"""WITH {STEPS}, x AS (SELECT DISTINCT action.filepath AS path FROM steps WHERE action.filepath IS NOT NULL), y AS (SELECT path, ltrim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(path), '^/?testbed/', ''), '^/?workspace/[^/]+/', ''), '^/?workspace/', ''), '^/?[a-zA-Z0-9_\-]+__[^/]+/', ''), '/') AS clean FROM x)
 SELECT path, clean, clean <> '' AND (clean LIKE 'tests/%' OR contains(clean, '/tests/') OR regexp_matches(clean, '(?i)(?:^|/)(?:repro[^/]*|reproduce[^/]*|test_[^/]*|[^/]*_test|verify[^/]*|check_[^/]*|debug[^/]*|bug[^/]*|poc[^/]*|tmp[^/]*|temp[^/]*|scratch[^/]*|issue[^/]*)\.py$')) AS scratch FROM y""")
 def p9_scratch(spark, d):

@@ -296,17 +296,62 @@ def test_prefilter_loses_nothing(spark):
     assert joins.prefiltered(df, "id", wanted.limit(0)).count() == 0
 
 
+CONVERSATION = [
+    # task, pos, role, content, calls (name, skill, args)
+    ("a", 0, "user", "go", []),
+    ("a", 1, "assistant", "", [("read_file", None, "x.py"), ("run_skill_script", "fast-grep", "t")]),
+    ("a", 2, "tool", "No matches", []),
+    ("a", 3, "tool", "x.py does not exist", []),
+    ("a", 4, "user", "more", []),
+    ("a", 5, "tool", "not of a turn", []),
+    ("a", 6, "assistant", "only words", []),
+    ("a", 7, "assistant", "", [("edit_file", None, "x.py")]),
+    ("a", 8, "tool", "did not match", []),
+    ("a", 9, "assistant", "", [("edit_file", None, "x.py")]),
+    ("b", 0, "assistant", "", [("run_skill_script", "test-gate", "")]),
+    ("b", 1, "tool", "FAILED", []),
+    ("b", 2, "assistant", "", [("edit_file", None, "x.py")]),
+    ("b", 3, "tool", None, []),
+    ("b", 4, "assistant", "<think>", [("submit_patch", None, "")]),
+    ("c", 0, "assistant", "", [("read_file", None, "y.py")]),
+]
+
+
+def test_conversations(spark):
+    from millrace.operators import conversations as C
+
+    m = spark.createDataFrame(CONVERSATION, "task_id string, pos int, role string, content string, calls " + C.CALLS)
+    out = {r.task_id: tuple(r)[1:] for r in C.classify(m).collect()}
+    # a: the read fails, the search finds nothing, one edit fails, the other repeats it; b is good; c ends without an edit
+    assert out == {"a": (1, 1, 3, 4, False), "b": (2, 1, 0, 3, True), "c": (1, 0, 0, 1, False)}
+    assert C.classify(m.limit(0)).count() == 0
+    w = {(r.task_id, r.turn): r for r in C.decision_windows(m, "s", F.lit("u")).collect()}
+    assert set(w) == {("a", 1), ("a", 7), ("a", 9), ("b", 0), ("b", 2), ("b", 4), ("c", 0)} - {("b", 4)}
+    assert w["a", 7].context == "tool>assistant" and w["b", 0].context == "" and w["b", 2].names == "edit_file"
+    assert w["b", 2].prefix == "<system>s\n<user>u\n<assistant>call:run_skill_script{}\n<tool>FAILED\n<assistant>" and w["b", 2].completion == "call:edit_file{x.py}\n"
+    assert C.decision_windows(m, "s", F.lit("u"), most=3).count() == 2
+
+
 def test_observations_are_whole(spark):
-    import __spark_entry__ as e
-    from millrace.plans.base import steps
-
-    d = f"{e.DATA}/sf0.001"
-    q = e.queries()
-    rows = q["f8_observations"](spark, d).join(steps(spark, d).select("step_id", "action.new_string"), "step_id").collect()
-    own = [r for r in rows if r.observation not in ("Patch submitted.", "Assertion passed.", "Success.")]
-    assert all(r.observation == r.new_string for r in own) and any(len(r.observation) > 40 for r in own)
-    short = {r.step_id: r.observation for r in q["f8_reconciled"](spark, d).collect()}
-    assert short == {r.step_id: r.observation[:40] for r in rows}
+    from millrace.operators import conversations as C
+
+    long = "x" * 5000
+    actions = spark.createDataFrame([("t", 1, 0, "edit_file", None), ("t", 2, 1, "submit_patch", None), ("t", 3, 2, "run_skill_script", "repro-check"), ("t", 4, 9, "edit_file", None), ("t", 5, 3, "read_file", None)], "task_id string, step_id long, source_step_index int, name string, skill string")
+    sources = spark.createDataFrame([("t", 0, long), ("t", 1, "no"), ("t", 2, "AssertionError"), ("t", 3, "")], "task_id string, step_index int, observation string")
+    assert {r.step_id: r.observation for r in C.reconciled(actions, sources).collect()} == {1: long, 2: "Patch submitted.", 3: "Assert passed.", 4: "Success.", 5: "Success."}
+
+
+def test_every_finding_is_reached(spark):
+    from millrace.operators import conversations as C
+
+    schema = "task_id string, step_index int, step_id long, source_step_index int, source_steps int, target string, action struct<action_type string, filepath string, old_string string, new_string string, skill_name string, file_path string>"
+    e = lambda p, a, b: ("edit_file", p, a, b, None, None)
+    rows = [("a", 0, 1, -1, 3, "x.py", e("/x.py ", "1", "2")), ("a", 1, 2, 3, 3, "x.py", e("y.py", "1", "1"))]
+    rows += [("b", i, 10 + i, 0, 3, None, ("run_skill_script", None, None, None, "odd" if i else "code-map", "grep.py")) for i in range(17)]
+    rows += [("c", 0, 1, 0, 3, "x.py", ("read_file", "x.py", None, None, None, None)), ("c", 1, 2, 0, 3, "x.py", e("x.py", "1", "2")), ("c", 2, 3, 2, 3, "x.py", ("submit_patch", None, None, None, None, None))]
+    out = {r.task_id: r.findings for r in C.diagnosis(spark.createDataFrame(rows, schema)).collect()}
+    assert out["a"] == ["edit_elsewhere", "edit_without_change", "index_out_of_bounds", "no_discovery", "not_submitted", "too_few_steps"]
+    assert out["b"] == ["no_edit", "not_submitted", "repeated_action", "too_many_steps", "unknown_skill", "wrong_script"] and out["c"] == []
 
 
 def test_hex_rows_are_whole(spark):
