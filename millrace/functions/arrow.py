@@ -24,10 +24,39 @@ def char_cells(c: str) -> int:
     return 2 if unicodedata.east_asian_width(c) in "WF" or 0x1F300 <= o <= 0x1FAFF or 0x2600 <= o <= 0x27BF else 1
 
 
+def text_cells(x: str) -> int:
+    """Terminal cells of a text. What a zero-width joiner ties to a sign takes no room of its own, a sign that variation
+    selector 16 shows as an emoji takes two cells, and so do two letters of a flag."""
+    if x.isascii() and x.isprintable():
+        return len(x)
+    total = last = 0
+    tied = flag = False
+    for c in x:
+        o = ord(c)
+        if o == 0x200D:
+            tied = True
+            continue
+        if o == 0xFE0F:
+            if last == 1:
+                total, last = total + 1, 2
+            continue
+        n = char_cells(c)
+        if 0x1F1E6 <= o <= 0x1F1FF:
+            n, flag = (0, False) if flag else (2, True)
+        else:
+            flag = False
+        if tied and n:
+            n = 0
+        tied = False
+        total += n
+        last = n or last
+    return total
+
+
 def terminal_width(t: Column) -> Column:
     @F.pandas_udf("long")
     def cells(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else len(x) if x.isascii() and x.isprintable() else sum(map(char_cells, x))).astype("Int64")
+        return s.map(lambda x: None if x is None else text_cells(x)).astype("Int64")
 
     return cells(t)
 

@@ -22,9 +22,8 @@ def parsed_or_empty(t: Column) -> Column:
 
 
 def canonical(t: Column) -> Column:
-    """A JSON object's members as ``key=value`` in the order of keys."""
-    m = F.array_sort(F.map_entries(parsed_or_empty(t)))
-    return F.array_join(F.transform(m, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null")))), ";")
+    """JSON in one form: no blanks, keys in order at every depth, numbers without useless digits; null for what is no JSON."""
+    return F.to_json(F.try_parse_json(t))
 
 
 def extra_keys(t: Column, allowed: list[str]) -> Column:

@@ -4,6 +4,8 @@ Empty inputs give empty outputs; null keys form a group of their own."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,3 +65,47 @@ def grouped_split(df: DataFrame, item: str, group: str, salt: str = "42") -> Dat
     w = Window.partitionBy(group)
     x = items.withColumn("n", F.count("*").over(w)).withColumn("k", F.row_number().over(w.orderBy(mixed, F.col(item))))
     return x.select(item, group, F.when(F.col("k") <= validation_count(F.col("n")), "val").otherwise("train").alias("part"))
+
+
+def selected(catalog: DataFrame, key: str, index: str, done: DataFrame, failed: DataFrame, start: int = 0, target: str | None = None, retry_failed: bool = False, force: bool = False) -> DataFrame:
+    """The part of a catalog to work on, by the first choice made: what failed, a target (its key, its number or a part of
+    its key), all from ``start``, or what is not done from ``start``. ``done`` and ``failed`` have the column ``key``."""
+    if retry_failed:
+        return catalog.join(failed.select(key).distinct(), key, "left_semi")
+    if target is not None:
+        return catalog.where(F.contains(F.col(key), F.lit(target)) | (F.col(index).cast("string") == target))
+    rest = catalog.where(F.col(index) >= start)
+    return rest if force else rest.join(done.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
+def remapped(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
+    """Columns under their own name from the first of their names that has a value; names that the table lacks don't count."""
+    for name, others in aliases.items():
+        held = [c for c in (name, *others) if c in df.columns]
+        df = df.withColumn(name, F.coalesce(*held) if held else F.lit(None).cast("string"))
+    return df.drop(*[o for others in aliases.values() for o in others])
+
+
+DIGEST_BLOCK = 10_000
+
+
+def content_digest(df: DataFrame, group: list[str], key: str, text: str) -> DataFrame:
+    """(group, texts, digest): per group a SHA-256 of all texts in the order of ``key``, as a tree: blocks of ``DIGEST_BLOCK``
+    digests make a digest each, level by level, so no task holds a group. Null texts count as empty."""
+    from millrace.operators.ordering import numbered
+
+    own = [f"_g{k}" for k in range(len(group))]
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(o)) for g, o in zip(group, own)])
+    x = numbered(df.select(*group, F.col(key).alias("_k"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_d")), [*group, "_k"], "_n")
+    texts = x.groupBy(*[F.col(g).alias(o) for g, o in zip(group, own)]).agg(F.count("*").alias("texts"), F.min("_n").alias("_first"))
+    x = x.join(texts, same).select(*group, (F.col("_n") - F.col("_first")).alias("_n"), "_d")
+    most = texts.agg(F.max("texts")).first()[0] or 0
+    while True:
+        x = x.groupBy(*group, F.floor(F.col("_n") / DIGEST_BLOCK).alias("_b")).agg(F.sort_array(F.collect_list(F.struct("_n", "_d"))).alias("_all"))
+        x = x.select(*group, F.col("_b").alias("_n"), F.sha2(F.array_join(F.col("_all._d"), ""), 256).alias("_d"))
+        most = -(-most // DIGEST_BLOCK)
+        if most <= 1:
+            break
+    # the root
+    x = x.select(*group, F.sha2("_d", 256).alias("digest"))
+    return x.join(texts, same).select(*group, "texts", "digest")

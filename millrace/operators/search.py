@@ -94,3 +94,13 @@ def edited(df: DataFrame, text: str, old: str, new: str) -> DataFrame:
         return edit_text(t, a, b or "") if t is not None and a is not None else (None, "null")
 
     return df.withColumn("_e", apply(F.col(text), F.col(old), F.col(new))).select(*df.columns, F.col("_e.edited").alias("edited"), F.col("_e.tier").alias("tier"))
+
+
+SYMBOLS = (("function", r"^\s*(?:async\s+def|def)\s+([A-Za-z_]\w*)"), ("class", r"^\s*class\s+([A-Za-z_]\w*)"), ("store", r"^\s*([A-Za-z_]\w*)\s*=[^=]"))
+
+
+def candidate_symbols(files: DataFrame) -> DataFrame:
+    """(file_id, symbol, kind, line_no): functions, classes and stores of each file, each symbol where it first stands."""
+    found = F.array_compact(F.array(*[F.when(F.col("line").rlike(p), F.struct(F.lit(k).alias("part"), F.lit(kind).alias("kind"), F.regexp_extract("line", p, 1).alias("symbol"))) for k, (kind, p) in enumerate(SYMBOLS)]))
+    x = lines(files).select("file_id", "line_no", F.explode(found).alias("s")).select("file_id", "line_no", "s.*")
+    return x.groupBy("file_id", "symbol").agg(F.min(F.struct("line_no", "part", "kind")).alias("first")).select("file_id", "symbol", "first.kind", "first.line_no")

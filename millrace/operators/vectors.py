@@ -16,15 +16,14 @@ QUERY_BLOCK = 4096
 def nearest(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
     """(query_id, id, cosine, rank): the k nearest other rows of each query row, ties by id.
 
-    Null, empty and zero vectors are nobody's neighbours. The queries are read in blocks of QUERY_BLOCK."""
+    Null, empty and zero vectors are nobody's neighbours; vectors of other lengths than the query's neither. The queries are
+    read in blocks of QUERY_BLOCK of one length."""
     spark = df.sparkSession
-    rows = queries.select(F.col(id_col).cast("long").alias("q"), F.col(vec_col).cast("array<double>").alias("v")).where(F.col(vec_col).isNotNull()).orderBy("q").toLocalIterator()
-    out, block = None, []
+    rows = queries.select(F.col(id_col).cast("long").alias("q"), F.col(vec_col).cast("array<double>").alias("v")).where(F.size(vec_col) > 0).orderBy("q").toLocalIterator()
+    out, blocks = None, {}
 
     def search(block: list) -> DataFrame:
-        size = max(len(r.v) for r in block)
-        ids = np.array([r.q for r in block if len(r.v) == size])
-        told = spark.sparkContext.broadcast((ids, _unit(np.array([r.v for r in block if len(r.v) == size], float))))
+        told = spark.sparkContext.broadcast((np.array([r.q for r in block]), _unit(np.array([r.v for r in block], float))))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qs, m = told.value
@@ -51,12 +50,13 @@ def nearest(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int
         return vectors.mapInArrow(run, "query_id long, id long, cosine double")
 
     for r in rows:
+        block = blocks.setdefault(len(r.v), [])
         block.append(r)
         if len(block) == QUERY_BLOCK:
-            found = search(block)
-            out, block = found if out is None else out.unionByName(found), []
-    if block:
-        found = search(block)
+            found = search(blocks.pop(len(r.v)))
+            out = found if out is None else out.unionByName(found)
+    for size in sorted(blocks):
+        found = search(blocks[size])
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "query_id long, id long, cosine double, rank long")

@@ -162,10 +162,16 @@ def p5(spark, d):
     return table(spark, d, "bench_tasks").select("instance_id", X.is_single_python_patch(F.col("patch")).alias("single_python"))
 
 
-@P.add("c12_patch_states")
+@P.add("c12_patch_states", r"""WITH d AS (SELECT instance_id || ':patch' AS id, patch AS diff FROM bench_tasks UNION ALL SELECT instance_id || ':tests', test_patch FROM bench_tasks UNION ALL SELECT instance_id || ':both', patch || test_patch FROM bench_tasks UNION ALL SELECT instance_id || ':none', '' FROM bench_tasks),
+s AS (SELECT id, unnest(string_split(diff, chr(10))) AS l FROM d), f AS (SELECT DISTINCT id, regexp_replace(regexp_extract(l, '^(?:---|\+\+\+) (\S+)', 1), '^[ab]/', '') AS p FROM s WHERE regexp_matches(l, '^(---|\+\+\+) ')),
+g AS (SELECT id, count(*) AS files, bool_and(ends_with(p, '.py')) AS python, count(*) FILTER (WHERE regexp_matches(lower(p), '(^|/)(tests|test|testing)(/|$)') OR starts_with(split_part(lower(p), '/', -1), 'test_') OR ends_with(lower(p), '_test.py')) AS tests FROM f WHERE p <> '/dev/null' AND p <> '' GROUP BY 1)
+SELECT d.id, coalesce(files, 0) AS files, coalesce(files = 1 AND python, false) AS single_python, coalesce(tests, 0) > 0 AS touches_tests, CASE WHEN coalesce(files, 0) = 0 THEN 'empty' WHEN tests = files THEN 'tests_only' WHEN files > 1 THEN 'wide' ELSE 'ready' END AS state FROM d LEFT JOIN g ON d.id = g.id""")
 def c12(spark, d):
+    """Each task's patch, its tests, both together and none, so that every state occurs."""
     b = table(spark, d, "bench_tasks")
-    return patches.readiness(b, "instance_id", "patch")
+    one = lambda name, diff: b.select(F.concat("instance_id", F.lit(":" + name)).alias("id"), diff.alias("diff"))
+    x = one("patch", F.col("patch")).unionByName(one("tests", F.col("test_patch"))).unionByName(one("both", F.concat("patch", "test_patch"))).unionByName(one("none", F.lit("")))
+    return patches.readiness(x, "id", "diff")
 
 
 @P.add("j16_run_status", f"""WITH {RUNS}, s AS (SELECT instance_id, max(test_exit_code) AS code FROM runs GROUP BY 1) SELECT b.instance_id, coalesce(s.code::VARCHAR, 'M') AS code FROM bench_tasks b LEFT JOIN s ON b.instance_id = s.instance_id""")
@@ -174,12 +180,26 @@ def j16(spark, d):
     return table(spark, d, "bench_tasks").join(s, "instance_id", "left").select("instance_id", F.coalesce(F.col("code").cast("string"), F.lit("M")).alias("code"))
 
 
+def _edits(spark, d, exact=False):
+    """Edits with texts to apply them to, made from the edits: the old text stands there as it is, with other white space,
+    with other white space around its delimiters, twice, or not at all."""
+    a = F.col("action")
+    old = a.old_string
+    odd = F.lit(0) if exact else F.pmod("step_id", F.lit(5))
+    wide, loose = F.regexp_replace(old, r"\s+", "  \n "), F.regexp_replace(old, r"([^\w\s])", " $1 ")
+    body = F.when(odd == 0, old).when(odd == 1, wide).when(odd == 2, loose).when(odd == 3, F.concat(old, F.lit("\n"), old)).otherwise(F.lit("nothing"))
+    x = steps(spark, d).where((a.action_type == "edit_file") & (F.trim(F.coalesce(old, F.lit(""))) != ""))
+    return x.select("step_id", old.alias("old"), a.new_string.alias("new"), F.concat(F.lit("begin\n"), body, F.lit("\nend")).alias("before"))
+
+
 @P.add("e3_three_tier_edits")
 def e3(spark, d):
-    """Every edit applied to the last content that its task wrote to the path before, where there is one."""
-    from millrace.operators import folds
+    """Each edit with the tier or the reason that decided, and the text it leaves."""
+    return search.edited(_edits(spark, d), "before", "old", "new").select("step_id", "tier", F.md5("edited").alias("edited"))
 
-    a = F.col("action")
-    x = steps(spark, d).select("task_id", "step_index", "step_id", a.action_type.alias("kind"), F.coalesce(a.filepath, F.lit("")).alias("path"), a.old_string.alias("old"), a.new_string.alias("new"), F.when(a.action_type == "write_file", a.content).alias("w"))
-    x = folds.remembered(x, "task_id", ["step_index", "step_id"], F.col("path"), F.col("w"), "before").where("kind = 'edit_file'")
-    return search.edited(x, "before", "old", "new").groupBy("tier").agg(F.count("*").alias("n"))
+
+@P.add("e3_exact_edits", f"""WITH {STEPS}, x AS (SELECT step_id, action.old_string AS old, coalesce(action.new_string, '') AS new, 'begin' || chr(10) || action.old_string || chr(10) || 'end' AS before FROM steps WHERE action.action_type = 'edit_file' AND trim(coalesce(action.old_string, '')) <> ''),
+n AS (SELECT *, len(string_split(before, old)) - 1 AS times FROM x) SELECT step_id, CASE WHEN times = 1 THEN 'exact' ELSE 'ambiguous' END AS tier, CASE WHEN times = 1 THEN md5(replace(before, old, new)) END AS edited FROM n""")
+def e3_exact(spark, d):
+    """All edits, applied to texts where the old text stands as it is."""
+    return search.edited(_edits(spark, d, exact=True), "before", "old", "new").select("step_id", "tier", F.md5("edited").alias("edited"))

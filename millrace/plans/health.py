@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import analytics as A
 from millrace.operators.dedup import latest
 from millrace.plans.base import RUNS, STEPS, Plans, runs, steps
-from millrace.session import table
+from millrace.session import shared_path, table
 
 P = Plans()
 
@@ -51,11 +51,11 @@ def a4b(spark, d):
 
 @P.add("a5_degenerate_runs", f"""WITH {RUNS}, x AS (SELECT run_id, count(*) AS n, sum(CASE WHEN coalesce(agent_patch_size, 0) = 0 THEN 1 ELSE 0 END)::BIGINT AS empty_patches,
   sum(CASE WHEN coalesce(total_llm_calls, 0) = 0 THEN 1 ELSE 0 END)::BIGINT AS silent FROM runs GROUP BY 1)
-SELECT run_id, n, empty_patches, round(silent::DOUBLE / n, 4) AS silent_share, empty_patches >= 5 AND silent::DOUBLE / n >= 0.05 AS degenerate FROM x""")
+SELECT run_id, n, empty_patches, round(silent::DOUBLE / n, 4) AS silent_share, empty_patches >= 100 AND silent::DOUBLE / n >= 0.5 AS degenerate FROM x""")
 def a5(spark, d):
     x = runs(spark, d).groupBy("run_id").agg(F.count("*").alias("n"), A.count_if(F.coalesce("agent_patch_size", F.lit(0)) == 0).alias("empty_patches"), A.count_if(F.coalesce("total_llm_calls", F.lit(0)) == 0).alias("silent"))
     share = F.col("silent") / F.col("n")
-    return x.select("run_id", "n", "empty_patches", F.round(share, 4).alias("silent_share"), ((F.col("empty_patches") >= 5) & (share >= 0.05)).alias("degenerate"))
+    return x.select("run_id", "n", "empty_patches", F.round(share, 4).alias("silent_share"), ((F.col("empty_patches") >= 100) & (share >= 0.5)).alias("degenerate"))
 
 
 @P.add("a6_small_patches", f"""WITH {RUNS} SELECT run_id, round(avg(CASE WHEN agent_patch_size < 200 THEN 1.0 WHEN agent_patch_size IS NOT NULL THEN 0.0 END), 6) AS small_share FROM runs GROUP BY 1""")
@@ -226,17 +226,21 @@ def s1(spark, d):
 
 @P.add("stream_event_windows", """SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
 def event_windows(spark, d):
-    """Tumbling windows; ``millrace.streaming`` runs the same aggregation on a stream."""
-    from millrace.streaming.jobs import windowed
+    """Tumbling windows of a stream with a watermark, worked off into a table."""
+    from millrace.streaming import jobs
 
-    return windowed(table(spark, d, "events"), "ts", "1 hour").select("window_start", "event_type", "n", "total")
+    folder, checkpoint = shared_path(spark, "windows"), shared_path(spark, "windows-state")
+    x = jobs.windowed(jobs.table_stream(spark, d, "events"), "ts", "1 hour", "1 hour")
+    jobs.complete_available(x, folder, checkpoint)
+    return spark.read.parquet(folder).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
 
 
 @P.add("stream_sessions", """WITH x AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM events), y AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM x)
 SELECT user_id, min(ts) AS started, count(*) AS n FROM y GROUP BY user_id, s""")
 def event_sessions(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts")
-    gap = F.col("ts") - F.lag("ts").over(w)
-    x = table(spark, d, "events").select("user_id", "ts").withColumn("fresh", F.when(gap <= F.expr("INTERVAL '30' MINUTE"), 0).otherwise(1))
-    x = x.withColumn("s", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return x.groupBy("user_id", "s").agg(F.min("ts").alias("started"), F.count("*").alias("n")).drop("s")
+    """Session windows of a stream, worked off into a table."""
+    from millrace.streaming import jobs
+
+    folder, checkpoint = shared_path(spark, "sessions"), shared_path(spark, "sessions-state")
+    jobs.complete_available(jobs.sessions(jobs.table_stream(spark, d, "events"), "ts", "user_id", "30 minutes", "1 hour"), folder, checkpoint)
+    return spark.read.parquet(folder).select("user_id", F.col("started").cast("timestamp_ntz").alias("started"), "n")

@@ -30,14 +30,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names in ``spark.checkpoint.dir``. Where it is unset: a temporary folder in
-    local mode, a folder in the warehouse (which executors share) elsewhere."""
+    """Use the shared folder that the cluster names in ``spark.checkpoint.dir``. Where it is unset: a temporary folder in local mode; a cluster has to name one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         told = spark.conf.get("spark.checkpoint.dir", None)
         if not told and not sc.master.startswith("local-cluster") and sc.master.startswith("local"):
             told = tempfile.mkdtemp(prefix="millrace-checkpoint-")
-        sc.setCheckpointDir(told or spark.conf.get("spark.sql.warehouse.dir") + "/millrace-checkpoint")
+        if not told:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(told)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -49,22 +68,22 @@ def cut(df: DataFrame) -> DataFrame:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read back: written once, its columns pruned by each reader.
 
-    The folder goes away when the driver's Python ends; executors may come and go meanwhile."""
+    The folder goes away with ``discard``, at the latest when the driver's Python ends; executors may come and go meanwhile."""
     import atexit
-    import uuid
 
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
-
-    def drop() -> None:
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the session may be gone
-            pass
-
-    atexit.register(drop)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    atexit.register(discard, out)
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table of a staged frame that nothing reads any more."""
+    try:
+        p, fs = _file_system(df.sparkSession, df._staged)
+        fs.delete(p, True)
+    except Exception:  # noqa: BLE001  the session may be gone
+        pass

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import exists
+
 
 def json_lines(df: DataFrame, folder: str, order: list[Column] | None = None, mode: str = "overwrite") -> None:
     """JSON lines in the order given: range-partitioned, so the files in name order hold the whole order."""
@@ -27,10 +29,7 @@ def split_rejects(df: DataFrame, reason: str, accepted: str, rejected: str) -> N
 
 def processed(spark: SparkSession, folder: str, key: str, kind: str = "string") -> DataFrame:
     """Ids that are worked off, empty before the first run."""
-    try:
-        return spark.read.parquet(folder).select(key).distinct()
-    except Exception:  # noqa: BLE001  no run yet
-        return spark.createDataFrame([], f"{key} {kind}")
+    return spark.read.parquet(folder).select(key).distinct() if exists(spark, folder) else spark.createDataFrame([], f"{key} {kind}")
 
 
 def resume(df: DataFrame, key: str, folder: str) -> DataFrame:

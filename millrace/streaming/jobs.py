@@ -46,6 +46,24 @@ def run_available(df: DataFrame, sink_folder: str, checkpoint: str, mode: str =
     return q
 
 
+def complete_available(df: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Works off what is there; each batch replaces the table by the whole result, so a repeated batch changes nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(folder)
+
+    q = df.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table's files as a stream; times without a zone become instants, which event times have to be."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    x = spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
+    return x.select(*[F.col(f.name).cast("timestamp").alias(f.name) if f.dataType.typeName() == "timestamp_ntz" else F.col(f.name) for f in schema])
+
+
 def upsert_available(df: DataFrame, folder: str, key: str, checkpoint: str) -> StreamingQuery:
     """Exactly-once table of one row per key: each batch is written under its own number, so a repeated batch
     replaces itself; readers take the last batch of a key with ``read_upserts``."""
