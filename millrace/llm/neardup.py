@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shingles import mix, shingle_sets
 from millrace.operators.joins import maybe_broadcast, prefiltered
-from millrace.session import cut, stage
+from millrace.session import discard, stage
 
 SEGMENTS, CHAIN = 16, 8
 HOT_LIST, HOT_LEAST, LOCAL_LEAST, SAMPLED, HOT_BLOCK = 1 << 20, 16, 3, 32, 4096
@@ -295,20 +295,23 @@ def expanded(links: DataFrame, of: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root): connected components of (a, b), root the least node, by alternating large and small stars until
-    nothing changes (after a number of rounds that grows as the logarithm of the nodes); each round is cut to the shared
-    checkpoint folder."""
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    nothing changes (after a number of rounds that grows as the logarithm of the nodes); each round is a table in the shared
+    folder, deleted once the next one stands."""
+    edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = stage(large.where("u <> v").distinct(), "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        new = cut(small.where("u <> v").distinct())
-        if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
-            break
+        new = stage(small.where("u <> v").distinct(), "edges")
+        same = new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty()
+        discard(edges)
+        discard(large)
         edges = new
+        if same:
+            break
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
 
