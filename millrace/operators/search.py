@@ -104,3 +104,52 @@ def candidate_symbols(files: DataFrame) -> DataFrame:
     found = F.array_compact(F.array(*[F.when(F.col("line").rlike(p), F.struct(F.lit(k).alias("part"), F.lit(kind).alias("kind"), F.regexp_extract("line", p, 1).alias("symbol"))) for k, (kind, p) in enumerate(SYMBOLS)]))
     x = lines(files).select("file_id", "line_no", F.explode(found).alias("s")).select("file_id", "line_no", "s.*")
     return x.groupBy("file_id", "symbol").agg(F.min(F.struct("line_no", "part", "kind")).alias("first")).select("file_id", "symbol", "first.kind", "first.line_no")
+
+
+IDENTIFIER = r"([A-Za-z_][A-Za-z0-9_]*)"
+
+
+def parts_of(name: str | Column, least: int = 3) -> Column:
+    """The parts of an identifier between underscores, in lower case, each once."""
+    return F.array_distinct(F.filter(F.split(F.lower(name), "_"), lambda p: F.length(p) >= least))
+
+
+def cascade(files: DataFrame, terms: DataFrame, least: int = 3) -> DataFrame:
+    """(term, tier, hits, file_id, line_no): for each term the first tier that finds identifiers and how many: the term as it
+    is, in any case, or identifiers with one of its parts; with the first place. Terms that nothing finds come as ``none``.
+
+    Terms meet identifiers by equal keys, not line by line, so many terms cost one join. ``fuzzy`` suggests names for terms
+    without a hit where these are few."""
+    words = lines(files).select("file_id", "line_no", F.explode(F.regexp_extract_all("line", F.lit(IDENTIFIER), 1)).alias("name"))
+    names = words.groupBy("name").agg(F.count("*").alias("hits"), F.min(F.struct("file_id", "line_no")).alias("at"))
+    asked = terms.select("term").where("term is not null and term <> ''").distinct()
+    exact = asked.join(names, F.col("term") == F.col("name")).select("term", F.lit(1).alias("t"), "name", "hits", "at")
+    cased = asked.join(names, F.lower("term") == F.lower("name")).select("term", F.lit(2).alias("t"), "name", "hits", "at")
+    by_part = names.select("name", "hits", "at", F.explode(parts_of("name", least)).alias("part"))
+    part = asked.select("term", F.explode(parts_of("term", least)).alias("part")).join(by_part, "part").select("term", F.lit(3).alias("t"), "name", "hits", "at").distinct()
+    found = exact.unionByName(cased).unionByName(part).groupBy("term", "t").agg(F.sum("hits").alias("hits"), F.min("at").alias("at"))
+    best = found.groupBy("term").agg(F.min(F.struct("t", "hits", "at")).alias("b"))
+    tier = F.element_at(F.array(F.lit("exact"), F.lit("any case"), F.lit("part")), F.col("b.t"))
+    return asked.join(best, "term", "left").select("term", F.coalesce(tier, F.lit("none")).alias("tier"), F.coalesce("b.hits", F.lit(0)).alias("hits"), F.col("b.at.file_id").alias("file_id"), F.col("b.at.line_no").alias("line_no"))
+
+
+def stem(path: str | Column) -> Column:
+    """The name of a file without folders and extension, in lower case."""
+    return F.lower(F.regexp_extract(path, r"([^/]+?)(?:\.[A-Za-z0-9]+)?$", 1))
+
+
+def similar_files(asked: DataFrame, files: DataFrame, group: str, n: int = 5, close: float = 0.5, least: int = 3) -> DataFrame:
+    """(group, asked, tier, path, rank): up to ``n`` files of the group like each path asked for: of the same stem, with a stem
+    that holds the other's or lies in it and shares a part with it, or a close one (edits of at most ``close`` of the longer)
+    that shares its first or last ``least`` letters. Better tiers first, then fewer edits, then by path."""
+    a = asked.select(group, F.col("path").alias("asked"), stem("path").alias("s")).where("s <> ''").distinct()
+    f = files.select(group, "path", stem("path").alias("z")).where("z <> ''").distinct()
+    pair = [group, "asked", "s", "path", "z"]
+    same = a.join(f, (a[group] == f[group]) & (F.col("s") == F.col("z"))).select(a[group], "asked", "s", "path", "z")
+    by_part = a.withColumn("k", F.explode(parts_of("s", least))).join(f.withColumn("k", F.explode(parts_of("z", least))), [group, "k"]).where(F.contains("s", "z") | F.contains("z", "s")).select(*pair)
+    ends = lambda c: F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.left(c, F.lit(least))), F.concat(F.right(c, F.lit(least)), F.lit(">")))))
+    near = a.withColumn("k", ends(F.col("s"))).join(f.withColumn("k", ends(F.col("z"))), [group, "k"]).where(F.levenshtein("s", "z") <= close * F.greatest(F.length("s"), F.length("z"))).select(*pair)
+    x = same.withColumn("t", F.lit(1)).unionByName(by_part.withColumn("t", F.lit(2))).unionByName(near.withColumn("t", F.lit(3))).where("asked <> path")
+    x = x.groupBy(group, "asked", "path", "s", "z").agg(F.min("t").alias("t"))
+    x = top_per_group(x.withColumn("edits", F.levenshtein("s", "z")), [group, "asked"], [F.col("t"), F.col("edits"), F.col("path")], n)
+    return x.select(group, "asked", F.element_at(F.array(F.lit("stem"), F.lit("part"), F.lit("close")), F.col("t")).alias("tier"), "path", F.col("rank").cast("long").alias("rank"))

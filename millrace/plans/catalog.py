@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("health", "drift", "curation", "dialogues", "predicates", "sequences", "texts", "graphs", "manifests")
+MODULES = ("health", "drift", "curation", "dialogues", "predicates", "files", "sequences", "texts", "graphs", "manifests")
 
 
 def _all(part: str) -> dict:

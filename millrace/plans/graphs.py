@@ -101,18 +101,36 @@ def c2(spark, d):
     return search.lines(files(spark, d), guarded=True).where(F.col("line").contains("return")).groupBy("file_id").agg(F.count("*").alias("hits"))
 
 
-@P.add("c3_search_cascade", f"""WITH {STEPS}, x AS (SELECT unnest(string_split(action.content, chr(10))) AS line FROM steps WHERE action.action_type = 'write_file' AND action.content IS NOT NULL)
-SELECT CASE WHEN contains(line, 'Raise ValueError') THEN 'exact' WHEN contains(lower(line), 'raise valueerror') THEN 'any case' ELSE 'part' END AS kind, count(*) AS n FROM x WHERE contains(lower(line), 'raise') OR contains(lower(line), 'valueerror') GROUP BY 1""")
-def c3(spark, d):
-    x = search.lines(files(spark, d)).where(F.lower("line").contains("raise") | F.lower("line").contains("valueerror"))
-    kind = F.when(F.col("line").contains("Raise ValueError"), "exact").when(F.lower("line").contains("raise valueerror"), "any case").otherwise("part")
-    return x.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+_WORDS = """w AS (SELECT step_id AS file_id, string_split(action.content, chr(10)) AS l FROM steps WHERE action.action_type = 'write_file' AND action.content IS NOT NULL), v AS (SELECT file_id, unnest(l) AS line, generate_subscripts(l, 1) AS line_no FROM w),
+i AS (SELECT file_id, line_no, unnest(regexp_extract_all(line, '([A-Za-z_][A-Za-z0-9_]*)', 1)) AS name FROM v), names AS (SELECT name, count(*) AS hits, min((file_id, line_no)) AS spot FROM i GROUP BY 1)"""
 
 
-@P.add("c5_similar_file_names", f"""WITH {STEPS}, p AS (SELECT DISTINCT action.filepath AS path, regexp_extract(action.filepath, '([^/_]{{3}})[^/]*\\.[A-Za-z]+$', 1) AS stem FROM steps WHERE action.filepath IS NOT NULL) SELECT stem, count(*) AS files, min(path) AS first_path FROM p WHERE stem <> '' GROUP BY 1 HAVING count(*) > 1""")
+@P.add("c3_search_cascade", f"""WITH {STEPS}, {_WORDS}, asked AS (SELECT DISTINCT action.args[-1] AS term FROM steps WHERE action.skill_name = 'fast-grep' AND action.args[-1] <> ''),
+p AS (SELECT name, hits, spot, unnest(list_distinct(list_filter(string_split(lower(name), '_'), lambda x: length(x) >= 3))) AS part FROM names), q AS (SELECT term, unnest(list_distinct(list_filter(string_split(lower(term), '_'), lambda x: length(x) >= 3))) AS part FROM asked),
+f AS (SELECT term, 1 AS t, name, hits, spot FROM asked JOIN names ON term = name UNION ALL SELECT term, 2, name, hits, spot FROM asked JOIN names ON lower(term) = lower(name) UNION ALL SELECT DISTINCT term, 3, name, hits, spot FROM q JOIN p ON q.part = p.part),
+g AS (SELECT term, t, sum(hits)::BIGINT AS hits, min(spot) AS spot FROM f GROUP BY 1, 2), b AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY term ORDER BY t) = 1)
+SELECT a.term, CASE b.t WHEN 1 THEN 'exact' WHEN 2 THEN 'any case' WHEN 3 THEN 'part' ELSE 'none' END AS tier, coalesce(b.hits, 0) AS hits, b.spot.element_1 AS file_id, b.spot.element_2 AS line_no FROM asked a LEFT JOIN b ON a.term = b.term""".replace("min((file_id, line_no))", "min({'element_1': file_id, 'element_2': line_no})"))
+def c3(spark, d):
+    """What the searches of all tasks would find in all written files."""
+    a = F.col("action")
+    terms = steps(spark, d).where(a.skill_name == "fast-grep").select(F.element_at(a.args, -1).alias("term"))
+    written = steps(spark, d).where((a.action_type == "write_file") & a.content.isNotNull()).select(F.col("step_id").alias("file_id"), a.filepath.alias("path"), a.content.alias("text"))
+    return search.cascade(written, terms)
+
+
+@P.add("c5_similar_file_names", f"""WITH {STEPS}, p AS (SELECT DISTINCT repo, action.action_type AS kind, action.filepath AS path, lower(regexp_extract(action.filepath, '([^/]+?)(?:\\.[A-Za-z0-9]+)?$', 1)) AS s FROM steps WHERE action.filepath IS NOT NULL AND repo IS NOT NULL),
+a AS (SELECT DISTINCT repo, path AS asked, s FROM p WHERE kind = 'read_file' AND s <> ''), f AS (SELECT DISTINCT repo, path, s AS z FROM p WHERE kind = 'write_file' AND s <> ''),
+ak AS (SELECT *, unnest(list_distinct(list_filter(string_split(s, '_'), lambda x: length(x) >= 3))) AS k FROM a), fk AS (SELECT *, unnest(list_distinct(list_filter(string_split(z, '_'), lambda x: length(x) >= 3))) AS k FROM f),
+x AS (SELECT a.repo, asked, path, s, z, 1 AS t FROM a JOIN f ON a.repo = f.repo AND s = z
+  UNION ALL SELECT ak.repo, asked, path, s, z, 2 FROM ak JOIN fk ON ak.repo = fk.repo AND ak.k = fk.k AND (contains(s, z) OR contains(z, s))
+  UNION ALL SELECT a.repo, asked, path, s, z, 3 FROM a JOIN f ON a.repo = f.repo AND (left(s, 3) = left(z, 3) OR right(s, 3) = right(z, 3)) AND levenshtein(s, z) <= 0.5 * greatest(length(s), length(z))),
+y AS (SELECT repo, asked, path, s, z, min(t) AS t FROM x WHERE asked <> path GROUP BY 1, 2, 3, 4, 5), r AS (SELECT *, row_number() OVER (PARTITION BY repo, asked ORDER BY t, levenshtein(s, z), path) AS rank FROM y)
+SELECT repo, asked, ['stem', 'part', 'close'][t] AS tier, path, rank FROM r WHERE rank <= 5""")
 def c5(spark, d):
-    p = steps(spark, d).select(F.col("action.filepath").alias("path")).where("path is not null").distinct().withColumn("stem", F.regexp_extract("path", r"([^/_]{3})[^/]*\.[A-Za-z]+$", 1))
-    return p.where("stem <> ''").groupBy("stem").agg(F.count("*").alias("files"), F.min("path").alias("first_path")).where("files > 1")
+    """For every file that a step reads, the written files of its repository with names like it."""
+    a = F.col("action")
+    x = steps(spark, d).select("repo", a.action_type.alias("kind"), a.filepath.alias("path")).where("path is not null and repo is not null")
+    return search.similar_files(x.where("kind = 'read_file'"), x.where("kind = 'write_file'"), "repo")
 
 
 @P.add("c9_overview", f"""WITH {STEPS}, p AS (SELECT DISTINCT repo, action.filepath AS path FROM steps WHERE action.filepath IS NOT NULL) SELECT repo, split_part(path, '/', 1) AS folder, count(*) AS files, count(*) FILTER (WHERE ends_with(path, '.py')) AS python_files FROM p GROUP BY 1, 2""")

@@ -9,10 +9,12 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.session import exists
+
 
 def ordered_scan(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """A Parquet scan with the place of each row, ``_file`` and ``_row``, as scans in order need it."""
@@ -43,12 +45,10 @@ def ids_of_json_lines(spark: SparkSession, path: str, key: str = "instance_id")
 
 def staged_or_else(spark: SparkSession, folder: str, make) -> DataFrame:
     """The table in ``folder`` if it has rows, else ``make()`` written there and read back."""
-    try:
+    if exists(spark, folder):
         df = spark.read.parquet(folder)
         if not df.isEmpty():
             return df
-    except Exception:  # noqa: BLE001  nothing staged yet
-        pass
     make().write.mode("overwrite").parquet(folder)
     return spark.read.parquet(folder)
 
@@ -157,3 +157,21 @@ def numstat(lines: DataFrame, col: str) -> DataFrame:
 def to_json_text(record: dict) -> str:
     """JSON with non-ASCII characters as they are."""
     return json.dumps(record, ensure_ascii=False)
+
+
+def nested(spark: SparkSession, path: str, schema: str, items: str, multi_line: bool = False) -> DataFrame:
+    """Documents with nested items as one row an item, beside the document's other fields. ``multi_line`` reads files that
+    are one document each, else each line is one."""
+    x = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return x.select(*[c for c in x.columns if c != items], F.explode(items).alias("_item")).select("*", "_item.*").drop("_item")
+
+
+def numbered_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The records of JSON lines with their place over all files, from 1: files by name, lines by where they begin. Lines
+    are numbered within their file and files added up, so no task holds more than a file."""
+    x = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"))
+    w = Window.partitionBy("file").orderBy("at")
+    x = x.withColumn("n", F.row_number().over(w))
+    sizes = x.groupBy("file").agg(F.count("*").alias("lines"))  # one row a file
+    before = sizes.select("file", F.coalesce(F.sum("lines").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return x.join(F.broadcast(before), "file").select((F.col("n") + F.col("before")).alias("place"), F.from_json("value", schema).alias("r")).select("place", "r.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import exists
+from millrace.session import _file_system, exists
 
 
 def json_lines(df: DataFrame, folder: str, order: list[Column] | None = None, mode: str = "overwrite") -> None:
@@ -48,3 +48,21 @@ def metadata(df: DataFrame, text: str, groups: dict[str, str]) -> DataFrame:
         counts = df.groupBy(F.coalesce(F.col(col).cast("string"), F.lit("None")).alias("k")).agg(F.count("*").alias("n"))
         out = out.join(counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias(name)), F.lit(True))
     return out
+
+
+def artefacts(whole: DataFrame, folder: str, parts: dict) -> None:
+    """A table and tables made from it (folder -> function), all from what was written first: nothing is computed twice."""
+    whole.write.mode("append").parquet(folder)
+    back = whole.sparkSession.read.schema(whole.schema).parquet(folder)
+    for path, make in parts.items():
+        make(back).write.mode("append").parquet(path)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file of the driver's."""
+    p, fs = _file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
