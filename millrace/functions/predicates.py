@@ -47,8 +47,8 @@ def glob_pattern(globs: list[str]) -> str:
             elif token == "?":
                 out += "."
             elif len(token) > 2:
-                inner = token[1:-1].replace("\\", r"\\")
-                out += "[" + ("^" + inner[1:] if inner[0] == "!" else inner) + "]"
+                inner, none = token[1:-1], token[1] == "!"
+                out += ("[^" if none else "[") + re.sub(r"([\[\]&\\^])", r"\\\1", inner[none:]) + "]"
             else:
                 out += re.escape(token)
         parts.append(out)

@@ -129,8 +129,8 @@ def cascade(files: DataFrame, terms: DataFrame, least: int = 3) -> DataFrame:
     part = asked.select("term", F.explode(parts_of("term", least)).alias("part")).join(by_part, "part").select("term", F.lit(3).alias("t"), "name", "hits", "at").distinct()
     found = exact.unionByName(cased).unionByName(part).groupBy("term", "t").agg(F.sum("hits").alias("hits"), F.min("at").alias("at"))
     best = found.groupBy("term").agg(F.min(F.struct("t", "hits", "at")).alias("b"))
-    tier = F.element_at(F.array(F.lit("exact"), F.lit("any case"), F.lit("part")), F.col("b.t"))
-    return asked.join(best, "term", "left").select("term", F.coalesce(tier, F.lit("none")).alias("tier"), F.coalesce("b.hits", F.lit(0)).alias("hits"), F.col("b.at.file_id").alias("file_id"), F.col("b.at.line_no").alias("line_no"))
+    tier = F.when(F.col("b.t") == 1, "exact").when(F.col("b.t") == 2, "any case").when(F.col("b.t") == 3, "part").otherwise("none")
+    return asked.join(best, "term", "left").select("term", tier.alias("tier"), F.coalesce("b.hits", F.lit(0)).alias("hits"), F.col("b.at.file_id").alias("file_id"), F.col("b.at.line_no").alias("line_no"))
 
 
 def stem(path: str | Column) -> Column:

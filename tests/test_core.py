@@ -60,7 +60,8 @@ def test_patches(spark):
 
 
 def test_json(spark):
-    assert col(spark, ['{"b": 1, "a": "x"}', "[1]", "oops", None, ""], structured.canonical) == ["a=x;b=1", "", "", "", ""]
+    assert col(spark, ['{"b": 1, "a": "x"}', "[1]", "oops", None, ""], structured.canonical) == ['{"a":"x","b":1}', "[1]", None, None, None]
+    assert col(spark, ['{"b": [ {"z": 1.50, "y": null} ], "a": "é"}'], structured.canonical) == ['{"a":"é","b":[{"y":null,"z":1.5}]}']
     assert col(spark, ['{"id": 1, "zz": 2}', "no"], lambda c: structured.extra_keys(c, ["id"])) == [["zz"], []]
     assert col(spark, ['{"a": {"b/c": [5, 6]}}', "no"], lambda c: structured.pointer(c, "/a/b~1c/1")) == ["6", None]
     assert col(spark, [[1, 2, 3, 4]], lambda c: structured.masked_labels(c, F.lit(2), 3, 5), "array<int>") == [[-100, 3, 4, -100, -100]]
@@ -407,3 +408,74 @@ def test_signals_and_weights_of_found_lines(spark):
     assert {x for *_, want in CASES_OF_SIGNALS for x in want} == set(WEIGHTS)
     df = spark.createDataFrame([("a.py", "x = 1")], "p string, l string")
     assert df.select(score(signals(F.col("p"), F.col("l"), []), {"equals sign": 3}).alias("s")).first().s == 3
+
+
+def test_predicates(spark):
+    from millrace.functions import predicates as Q
+
+    d = lambda *files: "".join(f"diff --git a/{f} b/{f}\n--- a/{f}\n+++ b/{f}\n@@ -1 +1 @@\n-a\n+b\n" for f in files)
+    assert col(spark, [d("src/a.py"), d("tests/a.py"), d("a/test_b.py"), d("a.py", "b.py"), d("a.js"), "", None], Q.single_target) == ["src/a.py"] + [None] * 6
+    assert col(spark, [d("src/a.py"), d("tests/a.py"), d("a.py", "b.py"), d("a.js"), None], Q.header_target) == ["src/a.py", "tests/a.py", None, None, None]
+    assert col(spark, ["see /src/a.py now", "a.py", "b.py", "", None], lambda c: Q.touches(c, F.lit("/src/a.py"))) == [True, True, False, False, False]
+    assert col(spark, ["x"], lambda c: Q.touches(c, F.lit(""))) == [False]
+    from fnmatch import fnmatchcase
+
+    paths, globs = ["a/b.py", "b.pyc", "x[1].md", "src/ab", "src/zb", "q\nr.md", "a.b"], ["*.py", "src/[!a]b", "?.b", "x[[]*", "q*r.md"]
+    assert col(spark, paths, lambda c: Q.matches_glob(c, globs)) == [any(fnmatchcase(p, g) for g in globs) for p in paths]
+    assert col(spark, ["a/.git/x", "a/__x/y", "a/Build/c", "a/b.EGG-INFO/c", "a/b/c.py", "", None], Q.is_skipped) == [True, True, True, True, False, False, None]
+    assert col(spark, ["<think>abc def</think>", "hello", "```\nabcdef\n```", "abc", None], Q.has_substance)[:2] == [False, True]
+    two = spark.createDataFrame([("1", "12"), ("1", None), (None, None)], "a string, b string")
+    for op, want in {"==": [False] * 3, "!=": [True, False, False], "<": [True, False, False], "is": [False, False, True], "is not": [True, True, False], "~": [False] * 3}.items():
+        assert [r[0] for r in two.select(Q.compared(F.col("a"), op, F.col("b"))).collect()] == want, op
+    assert [r[0] for r in two.select(Q.compared(F.col("a"), "in", F.array(F.lit("1")))).collect()] == [True, True, False]
+    schema = '{"$defs": {"A": {}, "b": {}}, "definitions": {"b": {}}, "components": {"schemas": {"C": {}}}}'
+    targets = col(spark, [schema, "[1]", None], Q.definition_targets)
+    assert targets == [{"A": "#/$defs/A", "b": "#/definitions/b", "C": "#/components/schemas/C"}, {}, {}]
+    hint = col(spark, ["#/$defs/A", "#/x/c", "B", "#/nowhere", None], lambda c: Q.hinted_target(c, Q.definition_targets(F.lit(schema))))
+    assert [h and tuple(h) for h in hint] == [("exact", "#/$defs/A"), ("case", "#/components/schemas/C"), ("case", "#/definitions/b"), None, None]
+
+
+def test_cascade_and_similar_files(spark):
+    from millrace.operators import search
+
+    files = spark.createDataFrame([(1, "a.py", "def load_table(x):\n    return Load"), (2, "b.py", "table_size = 1")], "file_id long, path string, text string")
+    terms = spark.createDataFrame([("load_table",), ("LOAD",), ("my_table",), ("zzz",), (None,), ("",)], "term string")
+    out = {r.term: tuple(r)[1:] for r in search.cascade(files, terms).collect()}
+    assert out == {"load_table": ("exact", 1, 1, 1), "LOAD": ("any case", 1, 1, 2), "my_table": ("part", 2, 1, 1), "zzz": ("none", 0, None, None)}
+    asked = spark.createDataFrame([("r", "x/load_table.py"), ("r", "gone.py")], "repo string, path string")
+    have = spark.createDataFrame([("r", "y/Load_Table.js"), ("r", "y/load_table_all.py"), ("r", "y/load_tablet.py"), ("r", "x/load_table.py"), ("q", "y/load_table.py"), ("r", "other.py")], "repo string, path string")
+    got = [(r.asked, r.tier, r.path, r["rank"]) for r in search.similar_files(asked, have, "repo").orderBy("rank").collect()]
+    assert got == [("x/load_table.py", "stem", "y/Load_Table.js", 1), ("x/load_table.py", "part", "y/load_tablet.py", 2), ("x/load_table.py", "part", "y/load_table_all.py", 3)]
+
+
+def test_nearest_vectors_of_several_lengths(spark):
+    from millrace.operators.vectors import nearest
+
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0, 0.0]), (4, [0.0, 1.0, 0.2]), (5, []), (6, None), (7, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    out = {(r.query_id, r.id) for r in nearest(df, df, "id", "v", 1).collect()}
+    assert {x for x in out if x[0] != 7} == {(1, 2), (2, 1), (3, 4), (4, 3)} and not {i for _, i in out} & {5, 6, 7}
+
+
+def test_content_digest_is_a_tree(spark, monkeypatch):
+    import hashlib
+
+    from millrace.operators import dedup
+
+    monkeypatch.setattr(dedup, "DIGEST_BLOCK", 3)
+    texts = {"a": [f"t{i}" for i in range(20)], None: ["x", ""]}
+    df = spark.createDataFrame([(g, i, t or None) for g, ts in texts.items() for i, t in enumerate(ts)], "g string, k long, t string").repartition(5)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {}
+    for g, ts in texts.items():
+        level = [sha(t) for t in ts]
+        for _ in range(3):  # as many levels as the largest group needs
+            level = [sha("".join(level[i : i + 3])) for i in range(0, len(level), 3)]
+        want[g] = sha(level[0])
+    assert {r.g: r.digest for r in dedup.content_digest(df, ["g"], "k", "t").collect()} == want
+
+
+def test_cells_of_joined_signs(spark):
+    from millrace.functions.arrow import text_cells
+
+    assert [text_cells(x) for x in ("abc", "水", "é", "👨‍👩‍👧", "❤️", "🇩🇪", "🇩🇪🇫🇷", "a‍b", "")] == [3, 2, 1, 2, 2, 2, 4, 1, 0]
