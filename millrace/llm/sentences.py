@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 12000
+SAMPLE = 20000
 DIMS, STEPS = 1 << 15, 500
 # usual abbreviations, in lower case, without their last stop: one feature of the model
 ABBREVIATIONS = frozenset(
@@ -226,6 +226,7 @@ def _rate(n: int, e: int, share: float) -> int:
 
 
 _OWN = ("key=", "prev=", "listed")
+_SHORT = tuple(f"{n}{case}" for n in range(1, 5) for case in "Aa-")
 
 
 def _names(left: tuple[str, ...], right: str, rate: int | None, known: bool = True) -> list[str]:
@@ -234,7 +235,8 @@ def _names(left: tuple[str, ...], right: str, rate: int | None, known: bool = Tr
         return [x for x in _names(left, right, rate) if not x.startswith(_OWN)]
     out = [*left, f"{left[0]}|{right}", f"then={right}", "bias"]
     if rate is not None:
-        out += [f"rarely ends>={k}" for k in range(1, rate + 1)] + [f"{left[2]}|{right}", f"{left[3]}|{right}"]
+        short = left[3][5:] in _SHORT  # abbreviations are short
+        out += [f"rarely ends>={k}{s}" for k in range(1, rate + 1) for s in ("", "|short")[: 1 + short]] + [f"{left[2]}|{right}", f"{left[3]}|{right}"]
     return out
 
 
