@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators import conversations as C
 from millrace.plans.base import STEPS, Plans, steps
+from millrace.plans.curation import ACT
 
 P = Plans()
-ACT = F.col("action")
 
 
 def answered(spark, d):

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from millrace.operators import conversations as C
 from millrace.plans.base import POINTS, RUNS, STEPS, Plans, points, runs, steps
+from millrace.plans.curation import ACT
 from millrace.plans.dialogues import messages
 from millrace.session import shared_path, table
 from millrace.sources import files, sinks
 
 P = Plans()
-ACT = F.col("action")
 
 
 @P.add("s6_ids_of_json_lines", f"WITH {RUNS} SELECT DISTINCT instance_id FROM runs WHERE instance_id IS NOT NULL AND instance_id <> ''")

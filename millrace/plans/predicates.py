@@ -10,11 +10,11 @@ from millrace.operators import conversations as C
 from millrace.operators import search
 from millrace.operators.dedup import content_digest, remapped, selected
 from millrace.plans.base import POINTS, REFS, RUNS, STEPS, Plans, points, refs, runs, steps
+from millrace.plans.curation import ACT
 from millrace.plans.dialogues import _MESSAGES, messages
 from millrace.session import table
 
 P = Plans()
-ACT = F.col("action")
 _BOTH = """both_ AS (SELECT instance_id, 'patch' AS part, patch AS diff FROM bench_tasks UNION ALL SELECT instance_id, 'test_patch', test_patch FROM bench_tasks),
 s AS (SELECT instance_id, part, unnest(string_split(diff, chr(10))) AS l FROM both_), f AS (SELECT DISTINCT instance_id, part, regexp_replace(regexp_extract(l, '^(?:---|\\+\\+\\+) (\\S+)', 1), '^[ab]/', '') AS p FROM s WHERE regexp_matches(l, '^(---|\\+\\+\\+) ')),
 g AS (SELECT instance_id, part, count(*) AS files, min(p) AS p FROM f WHERE p <> '/dev/null' AND p <> '' GROUP BY 1, 2)"""

@@ -479,3 +479,13 @@ def test_cells_of_joined_signs(spark):
     from millrace.functions.arrow import text_cells
 
     assert [text_cells(x) for x in ("abc", "水", "é", "👨‍👩‍👧", "❤️", "🇩🇪", "🇩🇪🇫🇷", "a‍b", "")] == [3, 2, 1, 2, 2, 2, 4, 1, 0]
+
+
+def test_the_entry_needs_no_session():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 150 and set(e.oracle_sql()) <= set(q)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, timeout=120).returncode == 0
