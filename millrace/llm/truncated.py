@@ -242,6 +242,7 @@ def judged(df: DataFrame, id_col: str, text_col: str, source_col: str, use: tupl
     nodes = tokens.select("kind", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.substring("token", F.lit(1), i))).alias("token"))
     nodes = nodes.where("token <> ''").join(maybe_broadcast(wanted), ["kind", "token"], "left_semi").groupBy("kind", "token").agg(F.sum("n").alias("node"))
     known = wanted.join(nodes, ["kind", "token"], "left").join(tokens.select("kind", "token", F.col("k").alias("ends")), ["kind", "token"], "left")
+    known = stage(known, "known")  # a row for each final token
     y = of.join(maybe_broadcast(known), ["kind", "token"]).join(F.broadcast(classes), ["kind", "class"], "left")  # a class is a letter and two marks
     expected = F.coalesce("node", F.lit(0)) * F.col("class_k") / F.col("class_n")
     by_token = _log(F.coalesce(expected, F.lit(0.0)), F.coalesce("ends", F.lit(0)))
@@ -253,7 +254,8 @@ def judged(df: DataFrame, id_col: str, text_col: str, source_col: str, use: tupl
         sizes = of.select("source", "length", "digest").distinct().groupBy("source", "length").agg(F.count("*").alias("same"))
         around = sizes.select("source", F.explode(F.sequence(F.col("length") - 20, F.col("length") + 20)).alias("length"), "same").groupBy("source", "length").agg(F.sum("same").alias("near"))
         piled = sizes.join(around, ["source", "length"]).select(F.col("source").alias("of_source"), F.col("length").alias("of_length"), F.least(F.lit(MOST_LENGTH), F.greatest(F.lit(0.0), F.log((F.col("same") + 1) / ((F.col("near") - F.col("same")) / 40 + 1)))).alias("by_length"))
-        y = y.join(maybe_broadcast(piled.where("by_length > 0")), F.col("source").eqNullSafe(F.col("of_source")) & (F.col("length") == F.col("of_length")), "left")
+        piled = stage(piled.where("by_length > 0"), "lengths")
+        y = y.join(maybe_broadcast(piled), F.col("source").eqNullSafe(F.col("of_source")) & (F.col("length") == F.col("of_length")), "left")
         score = score + F.coalesce("by_length", F.lit(0.0))
     if "open" in use:
         o = stats.where("kind = 'o'").groupBy().agg(*[F.sum(F.when(F.col("token") == w, F.col(c))).alias(f"{w}_{c}") for w in ("whole", "cut") for c in ("n", "k")])
@@ -261,7 +263,7 @@ def judged(df: DataFrame, id_col: str, text_col: str, source_col: str, use: tupl
         rate = lambda w: (F.coalesce(f"{w}_k", F.lit(0)) + SMOOTH) / (F.coalesce(f"{w}_n", F.lit(0)) + 2 * SMOOTH)
         score = score + F.when(F.col("open"), F.log(rate("cut") / rate("whole"))).otherwise(F.log((1 - rate("cut")) / (1 - rate("whole"))))
     if "closing" in use:
-        closing = closing_lines(of)
+        closing = stage(closing_lines(of), "closing")
         y = y.join(maybe_broadcast(closing.withColumn("closes", F.lit(True))), "line", "left")
         score = F.when(F.col("closes"), F.lit(-9.0)).otherwise(score)
     y = y.withColumn("score", F.when(F.col("kind") == "b", F.lit(-9.0)).otherwise(score))
