@@ -23,9 +23,10 @@ def histogram(df: DataFrame, key: Column, name: str, null: str = "None") -> Data
 
 
 def shares(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
-    """Counts and shares of the whole by a key."""
-    n = df.groupBy(key).agg(F.count("*").alias("n"))
-    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))), digits))
+    """Counts and shares of the whole by a key; the whole is one row that goes to every task."""
+    whole = df.agg(F.count("*").alias("_whole"))
+    n = df.groupBy(key).agg(F.count("*").alias("n")).crossJoin(F.broadcast(whole))
+    return n.select(key, "n", F.round(F.col("n") / F.col("_whole"), digits).alias("share"))
 
 
 def banded(value: Column, edges: list[tuple[str, float]], above: str) -> Column:

@@ -51,7 +51,12 @@ def manifest_verdicts(current: DataFrame, allowed: DataFrame, exceptions: DataFr
     c = current.select(path, F.col(digest).alias("c"), F.lit(True).alias("in_c"))
     a = allowed.select(path, F.col(digest).alias("a"), F.lit(True).alias("in_a"))
     e = exceptions.select(path, F.col(digest).alias("e"), F.lit(True).alias("in_e"))
-    x = c.join(a, path, "full_outer").join(e, path, "full_outer")
+    return presence_verdicts(c.join(a, path, "full_outer").join(e, path, "full_outer"), path, mode)
+
+
+def presence_verdicts(x: DataFrame, path: str, mode: str) -> DataFrame:
+    """The same of a table with a row for each path: digests ``c``, ``a`` and ``e`` and whether the path is there, ``in_c``,
+    ``in_a`` and ``in_e`` (null: not). One grouping makes it of manifests that come from one table."""
     here, ok, exc = F.col("in_c").isNotNull(), F.col("in_a").isNotNull(), F.col("in_e").isNotNull()
     same_a, same_e = F.col("c").eqNullSafe(F.col("a")), F.col("c").eqNullSafe(F.col("e"))
     strict = (

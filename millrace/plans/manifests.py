@@ -13,6 +13,18 @@ P = Plans()
 MAN = f"{STEPS}, man AS (SELECT coalesce(source, 'none') AS source, action.filepath AS path, arg_max(md5(action.content), (step_index, step_id)) AS digest FROM steps WHERE action.action_type = 'write_file' AND action.content IS NOT NULL AND action.filepath IS NOT NULL GROUP BY 1, 2)"
 
 
+def manifests(spark, d):
+    """The manifests of both sources and of rows without one side by side, in one pass over the steps."""
+    a = F.col("action")
+    x = steps(spark, d).where((a.action_type == "write_file") & a.content.isNotNull() & a.filepath.isNotNull())
+    last = F.struct("step_index", "step_id")
+    aggs = []
+    for name, source in (("c", "source_a"), ("a", "source_b"), ("e", "none")):
+        own = F.coalesce("source", F.lit("none")) == source
+        aggs += [F.max_by(F.when(own, F.md5(a.content)), F.when(own, last)).alias(name), F.max(F.when(own, True)).alias(f"in_{name}")]
+    return x.groupBy(a.filepath.alias("path")).agg(*aggs)
+
+
 def manifest(spark, d, source):
     a = F.col("action")
     x = steps(spark, d).where((F.coalesce("source", F.lit("none")) == source) & (a.action_type == "write_file") & a.content.isNotNull() & a.filepath.isNotNull())
@@ -33,12 +45,12 @@ _LENIENT = "CASE WHEN exc AND NOT here THEN 'FAIL missing exception' WHEN exc AN
 
 @P.add("j6_manifest_strict", _J6.format(man=MAN, case=_STRICT))
 def j6(spark, d):
-    return joins.manifest_verdicts(manifest(spark, d, "source_a"), manifest(spark, d, "source_b"), manifest(spark, d, "none"), "path", "digest", "strict")
+    return joins.presence_verdicts(manifests(spark, d), "path", "strict")
 
 
 @P.add("j6_manifest_lenient", _J6.format(man=MAN, case=_LENIENT))
 def j6b(spark, d):
-    return joins.manifest_verdicts(manifest(spark, d, "source_a"), manifest(spark, d, "source_b"), manifest(spark, d, "none"), "path", "digest", "lenient")
+    return joins.presence_verdicts(manifests(spark, d), "path", "lenient")
 
 
 @P.add("u1_key_union", f"WITH {MAN} SELECT DISTINCT path FROM man")
