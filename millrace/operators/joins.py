@@ -118,14 +118,29 @@ def reachable(edges: DataFrame, source: str, target: str, seeds: DataFrame, node
 
 
 def asof(left: DataFrame, right: DataFrame, key: list[str], left_time: str, right_time: str, value: str, name: str) -> DataFrame:
-    """Each left row with the value of the last right row of its key at or before its time: a union and one window."""
+    """Each left row with the value of the last right row of its key at or before its time, the greatest of those at the same
+    time. Rows are sorted within a key's days only, so a hot key is many partitions; what a day has from the days before it
+    comes from a table of one row for each key and day. Null keys are equal, null times have no value."""
+    from functools import reduce
+
     from pyspark.sql import Window
 
     cols = left.columns
-    a = left.select(*cols, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
-    b = right.select(*[F.col(c) if c in key else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in cols], F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v"))
-    w = Window.partitionBy(*key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    return a.unionByName(b).withColumn(name, F.last("_v", ignorenulls=True).over(w)).where("_side = 1").drop("_t", "_side", "_v")
+    timed = left.schema[left_time].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
+    day = lambda t: F.to_date(t) if timed else F.floor(F.col(t) / 86_400)
+    none = F.lit(None).cast(right.schema[value].dataType)
+    a = left.select(*cols, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), none.alias("_v"))
+    b = right.where(F.col(right_time).isNotNull()).select(*[F.col(c) if c in key else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in cols], F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v"))
+    w = Window.partitionBy(*key, "_day").orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    x = a.unionByName(b).withColumn("_day", day("_t")).withColumn("_own", F.last("_v", ignorenulls=True).over(w)).where("_side = 1")
+    days = a.where("_t is not null").select(*key, day("_t").alias("_day"), none.alias("_v")).distinct()
+    lasts = b.where("_v is not null").groupBy(*key, day("_t").alias("_day")).agg(F.max_by("_v", F.struct("_t", "_v")).alias("_v"))
+    days = days.unionByName(lasts).groupBy(*key, "_day").agg(F.max("_v").alias("_v"))
+    before = F.last("_v", ignorenulls=True).over(Window.partitionBy(*key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(key)], F.col("_day").alias("_of"), before.alias("_before")).where("_before is not null")
+    same = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(f"_k{n}")) for n, k in enumerate(key)])
+    x = x.join(days, same & (F.col("_day") == F.col("_of")), "left")
+    return x.select(*cols, F.coalesce("_own", "_before").alias(name))
 
 
 def labelled(df: DataFrame, checks: list[tuple[str, Column]], name: str = "reason") -> DataFrame:

@@ -489,3 +489,21 @@ def test_the_entry_needs_no_session():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 150 and set(e.oracle_sql()) <= set(q)"
     assert subprocess.run([sys.executable, "-c", code], cwd=root, timeout=120).returncode == 0
+
+
+def test_asof_over_days_and_ties(spark):
+    import datetime
+    import random
+
+    from millrace.operators.joins import asof
+
+    rnd = random.Random(2)
+    t = lambda h: datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=h)
+    left = [(i, rnd.choice(["hot", "hot", "hot", "k", None]), t(rnd.randrange(0, 24 * 12)) if i % 17 else None) for i in range(300)]
+    right = [(rnd.choice(["hot", "k", None, "other"]), t(rnd.randrange(24, 24 * 9, 6)), rnd.randrange(100) if n % 9 else None) for n in range(60)]
+    a, b = spark.createDataFrame(left, "i int, k string, at timestamp"), spark.createDataFrame(right, "k string, done timestamp, v int")
+    want = {}
+    for i, k, at in left:
+        before = [(d, v) for q, d, v in right if q == k and v is not None and at is not None and d <= at]
+        want[i] = max(before)[1] if before else None
+    assert {r.i: r.got for r in asof(a, b, ["k"], "at", "done", "v", "got").collect()} == want
