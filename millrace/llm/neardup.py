@@ -15,7 +15,7 @@ at least t exactly when their Hamming distance is at most tau = (|A| + |B|) (1 -
 3. ``pigeonring``: a pair stays only if from some segment on all chains of 1..L consecutive segments have cumulative
    differences of at most l tau / m. There must be such a start if the whole distance is at most tau, so no pair is lost;
    the whole ring isn't looked at. On sf0.1 chains of one segment leave 7,281 of 9,366 candidates, of two 5,256, of
-   ``CHAIN`` = 8 3,661; 3,300 pass the full check.
+   eight 3,661, of ``CHAIN`` = 12 3,510; 3,300 pass the full check.
 4. The full Hamming check on the sets themselves, for the pairs that are left.
 
 Classes of equal sets stay one point until the end; where pairs of texts are asked for, large classes go into the last
@@ -39,11 +39,12 @@ from millrace.llm.shingles import mix, shingle_sets
 from millrace.operators.joins import maybe_broadcast, prefiltered
 from millrace.session import discard, stage
 
-SEGMENTS, CHAIN = 16, 8
+SEGMENTS, CHAIN = 16, 12
 HOT_LIST, HOT_LEAST, LOCAL_LEAST, SAMPLED, HOT_BLOCK = 1 << 20, 16, 3, 32, 4096
 SHARED = 2
 _FEATURES = "id long, sid long, n int, first boolean, sk0 long, sk1 long, sk2 long, sk3 long, sh array<long>, hot array<long>, counts array<int>"
 _SHIFT = np.uint64(56)
+_KEY = np.uint64((1 << 48) - 1)
 
 
 def features(df: DataFrame, id_col: str, text_col: str, width: int = 3, least_words: int = 30) -> DataFrame:
@@ -157,7 +158,8 @@ def candidates(feats: DataFrame, t_num: int, t_den: int) -> DataFrame:
                     lo, hi = min(own, other), max(own, other)
                     parts.append((mix(np.array([k + np.uint64(lo * b + hi + 1)], np.uint64)), np.array([s]), np.array([m], np.int32)))
             key, sid, n = (np.concatenate(x) for x in zip(*parts))
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(sid, pa.int64()), pa.array(n, pa.int32())], names=["key", "sid", "n"])
+            # 48 bits of a key: keys that fall together only add candidates, and a sixth less is shuffled
+            yield pa.RecordBatch.from_arrays([pa.array((key & _KEY).view(np.int64)), pa.array(sid, pa.int64()), pa.array(n, pa.int32())], names=["key", "sid", "n"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted by key; the last key of a batch waits for the next one
