@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.signals import score, signals
 from millrace.operators.dedup import top_per_group
+from millrace.operators.joins import prefiltered
+from millrace.session import stage
 
 FILE_CHARS, FILE_LINES, LINE_CHARS = 500_000, 5_000, 1_000
 
@@ -114,21 +116,39 @@ def parts_of(name: str | Column, least: int = 3) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(name), "_"), lambda p: F.length(p) >= least))
 
 
+#: So many parts, those of most terms, come first in the names' keys. They order keys only: any order gives the same rows.
+COMMON_PARTS = 1_000
+
+
 def cascade(files: DataFrame, terms: DataFrame, least: int = 3) -> DataFrame:
     """(term, tier, hits, file_id, line_no): for each term the first tier that finds identifiers and how many: the term as it
     is, in any case, or identifiers with one of its parts; with the first place. Terms that nothing finds come as ``none``.
 
-    Terms meet identifiers by equal keys, not line by line, so many terms cost one join. ``fuzzy`` suggests names for terms
+    Terms meet identifiers by equal keys, not line by line, so many terms cost one join, and the files are read once: a name
+    has a key for itself in lower case and one for each part. With a part's key stand the parts before it, so that a name
+    that shares several parts with a term counts at the first only, and names are summed by key before terms see them: pairs
+    of terms and names are never formed. Keys that no term has go before the shuffle. ``fuzzy`` suggests names for terms
     without a hit where these are few."""
+    keys = lambda name, parts: F.concat(F.array(F.concat(F.lit("="), F.lower(name))), parts)
+    marked = lambda name: F.transform(parts_of(name, least), lambda p: F.concat(F.lit("_"), p))
+    asked = stage(terms.select("term").where("term is not null and term <> ''").distinct().select("term", keys("term", marked("term")).alias("keys")), "terms")
+    wanted = asked.select("term", "keys", F.explode("keys").alias("key"))
+    shared = wanted.where(F.col("key").startswith("_")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    common = [r.key for r in shared.orderBy(F.desc("n"), "key").limit(COMMON_PARTS).collect()]
     words = lines(files).select("file_id", "line_no", F.explode(F.regexp_extract_all("line", F.lit(IDENTIFIER), 1)).alias("name"))
     names = words.groupBy("name").agg(F.count("*").alias("hits"), F.min(F.struct("file_id", "line_no")).alias("at"))
-    asked = terms.select("term").where("term is not null and term <> ''").distinct()
-    exact = asked.join(names, F.col("term") == F.col("name")).select("term", F.lit(1).alias("t"), "name", "hits", "at")
-    cased = asked.join(names, F.lower("term") == F.lower("name")).select("term", F.lit(2).alias("t"), "name", "hits", "at")
-    by_part = names.select("name", "hits", "at", F.explode(parts_of("name", least)).alias("part"))
-    part = asked.select("term", F.explode(parts_of("term", least)).alias("part")).join(by_part, "part").select("term", F.lit(3).alias("t"), "name", "hits", "at").distinct()
-    found = exact.unionByName(cased).unionByName(part).groupBy("term", "t").agg(F.sum("hits").alias("hits"), F.min("at").alias("at"))
-    best = found.groupBy("term").agg(F.min(F.struct("t", "hits", "at")).alias("b"))
+    names = names.withColumn("parts", F.array_sort(marked("name")))
+    ordered = F.concat(F.filter("parts", lambda p: p.isin(common)), F.filter("parts", lambda p: ~p.isin(common)))
+    x = names.select("name", "hits", "at", keys("name", ordered).alias("keys"))
+    x = x.select("*", F.posexplode_outer("keys").alias("i", "key"))  # outer: else Spark tests the keys of every word before it groups them
+    x = prefiltered(x, "key", wanted)
+    before = F.when(F.col("i") == 0, F.array("name")).otherwise(F.slice("keys", F.lit(2), F.greatest(F.col("i") - 1, F.lit(0))))
+    x = x.groupBy("key", before.alias("before")).agg(F.sum("hits").alias("hits"), F.min("at").alias("at"))
+    x = x.join(wanted, "key")
+    whole = F.col("key").startswith("=")
+    t = F.when(whole & (F.get("before", F.lit(0)) == F.col("term")), F.array(F.lit(1), F.lit(2))).when(whole, F.array(F.lit(2))).otherwise(F.array(F.lit(3)))
+    found = x.where(whole | ~F.arrays_overlap("before", "keys")).select("term", F.explode(t).alias("t"), "hits", "at")
+    best = found.groupBy("term", "t").agg(F.sum("hits").alias("hits"), F.min("at").alias("at")).groupBy("term").agg(F.min(F.struct("t", "hits", "at")).alias("b"))
     tier = F.when(F.col("b.t") == 1, "exact").when(F.col("b.t") == 2, "any case").when(F.col("b.t") == 3, "part").otherwise("none")
     return asked.join(best, "term", "left").select("term", tier.alias("tier"), F.coalesce("b.hits", F.lit(0)).alias("hits"), F.col("b.at.file_id").alias("file_id"), F.col("b.at.line_no").alias("line_no"))
 

@@ -448,6 +448,43 @@ def test_cascade_and_similar_files(spark):
     assert got == [("x/load_table.py", "stem", "y/Load_Table.js", 1), ("x/load_table.py", "part", "y/load_tablet.py", 2), ("x/load_table.py", "part", "y/load_table_all.py", 3)]
 
 
+def test_cascade_reads_once_and_counts_names_of_several_parts_once(spark, tmp_path, monkeypatch):
+    import re
+    from collections import Counter
+
+    texts = [(1, "load_table_rows(Load_Table)\nrows_of_table = TABLE"), (2, "load_rows\n\n_table_load, big_load_table_rows_x"), (3, "ab_cd = rows; _load"), (4, "load_load, LOAD_TABLE, loadtable\nother")]
+    asked = ["load_table", "rows_table_load", "TABLE", "table_TABLE_new", "rows", "ab_cd", "ab_zz", "big_other_gone", "LOADTABLE", "load-table", "none_here", "_load", "=table"]
+    seen, first = Counter(), {}
+    for i, text in texts:
+        for n, line in enumerate(text.split("\n"), 1):
+            for name in re.findall(search.IDENTIFIER, line):
+                seen[name] += 1
+                first.setdefault(name, (i, n))
+    parts = lambda w: {p for p in w.lower().split("_") if len(p) >= 3}
+    tests = (("exact", lambda t, w: t == w), ("any case", lambda t, w: t.lower() == w.lower()), ("part", lambda t, w: parts(t) & parts(w)))
+    expected = {}
+    for term in asked:
+        tier, names = next(((tier, names) for tier, test in tests if (names := [w for w in seen if test(term, w)])), ("none", []))
+        expected[term] = (tier, sum(seen[w] for w in names), *min((first[w] for w in names), default=(None, None)))
+    assert {v[0] for v in expected.values()} == {"exact", "any case", "part", "none"}
+
+    spark.createDataFrame(texts, "file_id long, text string").write.parquet(f"{tmp_path}/files")
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    files = spark.read.parquet(f"{tmp_path}/files").mapInArrow(count, "file_id long, text string").withColumn("path", F.lit("a.py"))
+    terms = spark.createDataFrame([(t,) for t in asked], "term string")
+    for most in (0, 1, 1_000):
+        monkeypatch.setattr(search, "COMMON_PARTS", most)
+        reads.value = 0
+        assert {r.term: tuple(r)[1:] for r in search.cascade(files, terms).collect()} == expected
+        assert reads.value == len(texts)
+
+
 def test_nearest_vectors_of_several_lengths(spark):
     from millrace.operators.vectors import nearest
 
